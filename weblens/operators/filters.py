@@ -121,16 +121,28 @@ def filter_recent(logs: DataFrame, minutes: int = 5) -> DataFrame:
     return logs.where(F.col("ts") >= edge)
 
 
+# What a regular expression may hold without ever taking in a line end: anything but
+# negated classes, look-arounds, flags, control characters and most escapes.
+_ACROSS_LINES = re.compile(r"\[\^|\(\?(?!:)|\\[^dwb\W]|\\[\s]|[\x00-\x1f]")
+_PLAIN = re.compile(r"[\w /:,;@%#&=~<>!'\"-]+")
+
+
 def search_logs(logs: DataFrame, term: str, literal: bool = False) -> DataFrame:
     """Rows where any column, as text, contains the term, whatever its case.
 
     The term is a regular expression unless `literal`. Missing values never match. A term
     without special characters need not be looked up in columns that repeat part of `raw`.
+    Most expressions cannot match across a line end, so one run over the columns, a line
+    each, tells the same as a run over every column.
     """
     if not term:
         return logs
-    plain = literal or re.fullmatch(r"[\w\s/:,;@%#&=~<>!'\"-]+", term) is not None
-    pattern = "(?iu)" + (re.escape(term) if literal else term)
-    skipped = RAW_PIECES if plain and term != "-" else set()
-    names = [c for c in SEARCHED if c in logs.columns and c not in skipped]
-    return logs.where(reduce(or_, [F.col(c).cast("string").rlike(pattern) for c in names]))
+    plain = term != "-" and (literal or _PLAIN.fullmatch(term) is not None)
+    term = re.escape(term) if literal else term
+    names = [c for c in SEARCHED if c in logs.columns and not (plain and c in RAW_PIECES)]
+    cells = [F.col(c).cast("string") for c in names]
+    if _ACROSS_LINES.search(term):
+        return logs.where(reduce(or_, [cell.rlike("(?iu)" + term) for cell in cells]))
+    # The joined text comes out of a generator, so that parsing is not repeated in the filter.
+    joined = logs.select("*", F.explode(F.array(F.concat_ws("\n", *cells))).alias("_cells"))
+    return joined.where(F.col("_cells").rlike("(?iumd)" + term)).drop("_cells")

@@ -26,9 +26,7 @@ def has_text(raw: Column) -> Column:
 
 
 def _by_format(choices: dict[str, Column]) -> Column:
-    """One column out of several, by the row's format."""
-    if len(choices) == 1:
-        return next(iter(choices.values()))
+    """One column out of several, by the row's format; NULL for formats without one."""
     chosen = F
     for name, column in choices.items():
         chosen = chosen.when(F.col("format") == name, column)
@@ -40,13 +38,15 @@ def _parse(lines: DataFrame, formats: Iterable[LineFormat]) -> DataFrame:
     formats = list(formats)
     raw, part = F.col("raw"), F.col("_part")
     kept = [c for c in lines.columns if c not in S.LOG_FIELDS.names]
-    in_parts = _by_format({f.name: f.parts(raw) for f in formats})
+    alone = len(formats) == 1
+    by_format = (lambda choices: choices[formats[0].name]) if alone else _by_format
+    in_parts = by_format({f.name: f.parts(raw) for f in formats})
     # The parts come out of a generator, so they are made once per line: a filter on a
     # parsed column would otherwise be pushed down with the parsing copied into it.
     taken_apart = lines.where(has_text(raw)).select(
         "*", F.explode(F.array(in_parts)).alias("_part")
     )
-    read = F.size(part) == _by_format({f.name: F.lit(f.size) for f in formats})
+    read = F.size(part) == by_format({f.name: F.lit(f.size) for f in formats})
     per_format = {f.name: f.fields(raw, part) for f in formats}
     instead = {"parse_status": S.UNPARSED_STATUS, "error_level": S.UNPARSED}
 
@@ -56,7 +56,7 @@ def _parse(lines: DataFrame, formats: Iterable[LineFormat]) -> DataFrame:
         found = {f: cols[field.name] for f, cols in per_format.items() if field.name in cols}
         if not found:
             return F.lit(None).cast(field.dataType).alias(field.name)
-        value = F.when(read, _by_format(found).cast(field.dataType))
+        value = F.when(read, by_format(found).cast(field.dataType))
         if field.name in instead:
             value = value.otherwise(instead[field.name])
         return value.alias(field.name)
