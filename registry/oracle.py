@@ -78,6 +78,11 @@ def access_clock(text: str) -> str:
     return f"try_strptime(split_part({text}, ' ', 1), '%d/%b/%Y:%H:%M:%S')"
 
 
+def whole_number(text: str, type_name: str) -> str:
+    """DuckDB also casts `3.` or `2.7`, which are no status and no size."""
+    return f"CASE WHEN regexp_matches({text}, '^[+-]?[0-9]+$') THEN TRY_CAST({text} AS {type_name}) END"
+
+
 def level_of(status: str) -> str:
     return f"""CASE WHEN {status} < 300 THEN 'SUCCESS' WHEN {status} < 400 THEN 'REDIRECT'
       WHEN {status} < 500 THEN 'CLIENT_ERROR' ELSE 'SERVER_ERROR' END"""
@@ -126,9 +131,9 @@ def malformed_rows(lines: str) -> str:
       coalesce(request[3], '-') AS protocol, bracket AS timestamp_raw,
       CASE WHEN contains(bracket, ' ') THEN {access_clock("bracket")} END AS ts,
       coalesce(tail[1], '-') AS status_raw,
-      TRY_CAST(coalesce(tail[1], '-') AS INTEGER) AS status_code,
+      {whole_number("tail[1]", "INTEGER")} AS status_code,
       coalesce(tail[2], '-') AS size_raw,
-      TRY_CAST(coalesce(tail[2], '-') AS BIGINT) AS size_bytes,
+      {whole_number("tail[2]", "BIGINT")} AS size_bytes,
       'INFO' AS error_level, {NO_TEXT} AS message
     FROM (
       SELECT *, {request} AS request,
