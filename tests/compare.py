@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import math
 
 import duckdb
@@ -41,3 +43,10 @@ def duck_rows(con, sql: str) -> tuple[list[str], list[tuple]]:
     got = con.execute(sql)
     names = [d[0] for d in got.description]
     return sorted(names), rows(names, got.fetchall())
+
+
+def plan_of(df) -> str:
+    """The physical plan with the details of its scans."""
+    with contextlib.redirect_stdout(io.StringIO()) as text:
+        df.explain("formatted")
+    return text.getvalue()

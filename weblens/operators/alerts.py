@@ -62,11 +62,13 @@ def flag_new_errors(
     logs: DataFrame, high_water: HighWater, levels: Iterable[str] = S.ERROR_LEVELS
 ) -> DataFrame:
     """All rows with `is_new`, a `severity` tag and the text an alert would show."""
-    is_new = F.col("is_new")
-    return (
-        logs.withColumn("is_new", _is_new(high_water, levels))
-        .withColumn("severity", severity(F.col("error_level"), is_new))
-        .withColumn("alert", _alert_text(is_new))
+    is_new = _is_new(high_water, levels)
+    # One projection: after a top-k it becomes part of `TakeOrderedAndProject`.
+    return logs.select(
+        "*",
+        is_new.alias("is_new"),
+        severity(F.col("error_level"), is_new).alias("severity"),
+        _alert_text(is_new).alias("alert"),
     )
 
 

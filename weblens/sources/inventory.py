@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 
 
 def log_file_inventory(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """Name, path, type, size and change time of each file under `path`; none is opened."""
+    """Name, path, type, size and change time of each file under `path`; none is opened.
+
+    Listed as a scan, so a folder itself and an empty file, which has nothing to scan, do
+    not appear.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
