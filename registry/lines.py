@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weblens.shared import new_shared_path
+from weblens.shared import new_shared_path, spread
 
 ACCESS_CLOCK = "date_format(ts, 'dd/MMM/yyyy:HH:mm:ss')"
 
@@ -55,14 +55,14 @@ def log_lines(spark: SparkSession, sf_dir: str, *files: str) -> DataFrame:
             for f in files
         ]
     )
-    events = table(spark, sf_dir, "events")
+    events = spread(table(spark, sf_dir, "events"))
     return events.select(
         (F.col("event_id") + 1).alias("line_no"), F.inline(line)
     ).select("file_path", "line_no", "raw")
 
 
 def access_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
+    events = spread(table(spark, sf_dir, "events"))
     return events.select(
         F.lit("access.log").alias("file_path"),
         (F.col("event_id") + 1).alias("line_no"),
@@ -74,7 +74,7 @@ def text_lines(
     spark: SparkSession, sf_dir: str, name: str, key: str, column: str
 ) -> DataFrame:
     """Every line of every text of a table, each text a file of its own."""
-    texts = table(spark, sf_dir, name)
+    texts = spread(table(spark, sf_dir, name).select(key, column))
     return texts.select(
         F.concat(F.lit(f"{name}/"), F.col(key)).alias("file_path"),
         F.posexplode(F.split(column, "\n", -1)).alias("pos", "raw"),
@@ -88,7 +88,12 @@ def prose_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Access lines out of `lineitem`, six times as many as events; used to time jobs."""
-    items = table(spark, sf_dir, "lineitem")
+    items = spread(
+        table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_shipdate",
+            "l_returnflag", "l_quantity",
+        )
+    )
     clock = "date_format(l_shipdate, 'dd/MMM/yyyy:HH:mm:ss')"
     return items.select(
         F.lit("orders.log").alias("file_path"),

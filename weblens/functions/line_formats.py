@@ -8,6 +8,7 @@ cheapest way to get many groups out of a line without leaving generated code (a
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
@@ -41,10 +42,21 @@ def at_line_start(pattern: str) -> str:
     return "(?d)^" + pattern
 
 
+_GROUP = re.compile(r"\\.|\[(?:\\.|[^\]\\])*\]|\((?:(?!\?)|\?<(\w+)>)")
+
+
+def _by_number(pattern: str, parts: str) -> tuple[str, str]:
+    """Turn named groups into numbered ones, which are filled in much faster."""
+    opening = [m for m in _GROUP.finditer(pattern) if m.group().startswith("(")]
+    number = {m[1]: n for n, m in enumerate(opening, 1) if m[1]}
+    plain = _GROUP.sub(lambda m: "(" if m[1] else m.group(), pattern)
+    return plain, re.sub(r"\$\{(\w+)\}", lambda m: f"${number[m[1]]}", parts)
+
+
 def rewrite(raw: Column, pattern: str, parts: Sequence[str]) -> Column:
     """The line's parts if the whole line fits the pattern, else an array of one."""
-    whole = at_line_start(f"(?:{pattern})$")
-    return F.split(F.regexp_replace(raw, F.lit(whole), F.lit("\n".join(parts))), "\n", -1)
+    whole, listed = _by_number(at_line_start(f"(?:{pattern})$"), "\n".join(parts))
+    return F.split(F.regexp_replace(raw, F.lit(whole), F.lit(listed)), "\n", -1)
 
 
 class LineFormat(NamedTuple):

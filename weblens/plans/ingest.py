@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weblens.plans.detect import detect_format
 from weblens.plans.parse import parse_logs
+from weblens.shared import spread
 from weblens.sources.text import (
     TEXT_GLOB,
     index_bounds,
@@ -34,9 +35,9 @@ def read_logs(
     """
     scan = scan_log_text(spark, path, glob)
     if format is not None and not numbered:
-        return parse_logs(scan, format)
+        return parse_logs(spread(scan), format)
     index = line_index(scan)
-    lines = number_lines(scan, index)
+    lines = spread(number_lines(scan, index))
     if format is not None:
         return parse_logs(lines, format)
     return parse_logs(lines, formats=detect_format(lines, index_bounds(index)))

@@ -57,3 +57,14 @@ def broadcast_within_limit(
         row_bytes = row_bytes + F.coalesce(F.octet_length(name), F.lit(0))
     measured = df.agg(F.sum(row_bytes.cast("bigint"))).first()[0] or 0
     return F.broadcast(df) if measured <= limit_bytes else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Share rows among all cores if fewer tasks than cores would read them.
+
+    Parsing is bound by the processor, and a file that cannot be split, such as zipped
+    text or one row group, is read by one task. Input with enough splits stays as it is.
+    Order columns are values by then, so nothing else changes.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
