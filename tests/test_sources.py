@@ -128,7 +128,14 @@ def test_read_logs_detects_each_file(spark, tmp_path, small_splits):
     }
 
 
-def test_read_logs_of_one_format_is_one_narrow_pass(spark, tmp_path):
+def test_input_of_few_splits_is_spread(spark, tmp_path):
+    logs = read_logs(spark, write(tmp_path, {"a.log": FILES["a.log"]}), "apache")
+    assert "Exchange" in plan_of(logs)
+    rows = logs.orderBy(*S.file_order(logs)).collect()
+    assert [r.raw for r in rows] == [ACCESS.format(n=n) for n in range(1, 101)]
+
+
+def test_read_logs_of_one_format_is_one_narrow_pass(spark, tmp_path, small_splits):
     logs = read_logs(spark, write(tmp_path, FILES), "apache")
     plan = plan_of(logs)
     assert "Exchange" not in plan and "Join" not in plan

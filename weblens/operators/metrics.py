@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 from weblens import schema as S
 from weblens.operators.filters import filter_errors, filter_recent
 
-MICROS_PER_DAY = 86_400_000_000
-
 
 def hour_of(ts: Column) -> Column:
     return F.date_trunc("hour", ts).cast("timestamp_ntz")
@@ -44,10 +42,7 @@ def _rate(errors: Column, total: Column) -> Column:
 
 
 def _span_days() -> Column:
-    span = F.unix_micros(F.max("ts").cast("timestamp")) - F.unix_micros(
-        F.min("ts").cast("timestamp")
-    )
-    return F.floor(span / MICROS_PER_DAY)
+    return F.extract(F.lit("DAY"), F.max("ts") - F.min("ts")).cast("bigint")
 
 
 def total_requests(logs: DataFrame) -> DataFrame:
