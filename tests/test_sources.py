@@ -4,7 +4,8 @@ import pytest
 
 from tests.compare import plan_of
 from weblens import schema as S
-from weblens.plans import detect_format, read_logs, text_bounds
+from weblens.operators import latest_errors
+from weblens.plans import detect_format, parse_logs, read_logs, text_bounds
 from weblens.shared import broadcast_within_limit, cut_lineage
 from weblens.sources import (
     index_bounds,
@@ -221,3 +222,12 @@ def test_broadcast_only_within_the_limit(spark):
     plan = lambda df: df._jdf.queryExecution().analyzed().toString()
     assert "broadcast" in plan(broadcast_within_limit(small))
     assert "broadcast" not in plan(broadcast_within_limit(small, limit_bytes=5_000))
+
+
+def test_latest_errors_do_not_depend_on_the_split(spark, tmp_path, small_splits):
+    text = {"a.log": "\n".join(ACCESS.format(n=n).replace(" 200 ", " 500 ") for n in range(100))}
+    scan = scan_log_text(spark, write(tmp_path, text))
+    by_scan = latest_errors(parse_logs(scan, "apache"), 7).collect()
+    by_line = latest_errors(parse_logs(number_lines(scan), "apache"), 7).collect()
+    assert [r.raw for r in by_scan] == [r.raw for r in by_line]
+    assert [r.path for r in by_scan] == [f"/{n}" for n in range(93, 100)]

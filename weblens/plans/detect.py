@@ -29,13 +29,16 @@ def sample_lines(lines: DataFrame, bounds: DataFrame) -> DataFrame:
     """The first lines of each file's text, at most `SAMPLE_LINES`, in place.
 
     Lines are picked by exact (file, line) keys: a small set is broadcast, a large one
-    is met by a shuffle that spreads evenly, as no key occurs twice.
+    is met by a shuffle that spreads evenly, as no key occurs twice. Lines past every
+    sample, nearly all of them, are left out before that.
     """
     last = F.least("last_line", F.col("first_line") + (SAMPLE_LINES - 1))
     keys = bounds.select(
         "file_path", "first_line", F.explode(F.sequence("first_line", last)).alias("line_no")
     )
-    picked = lines.join(broadcast_within_limit(keys), ["file_path", "line_no"])
+    deepest = keys.agg(F.max("line_no")).scalar()
+    near = lines.where(F.col("line_no") <= deepest)
+    picked = near.join(broadcast_within_limit(keys), ["file_path", "line_no"])
     return picked.withColumn(
         "raw",
         F.when(
