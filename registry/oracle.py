@@ -105,7 +105,7 @@ def request_rows(lines: str, pattern: str, name: str, with_text: bool) -> str:
       {group(pattern, 2) if with_text else NO_TEXT} AS timestamp_raw,
       {access_clock(group(pattern, 2))} AS ts, {group(pattern, 6)} AS status_raw,
       {status} AS status_code, {group(pattern, 7)} AS size_raw,
-      TRY_CAST({group(pattern, 7)} AS BIGINT) AS size_bytes,
+      {whole_number(group(pattern, 7), "BIGINT")} AS size_bytes,
       {level_of(status)} AS error_level, {NO_TEXT} AS message
     FROM ({lines}) WHERE regexp_matches(raw, '{pattern}')"""
 
@@ -247,7 +247,7 @@ VIEW = f"{LOGS}, v AS (SELECT * FROM logs WHERE ts IS NOT NULL)"
 IS_ERROR = "error_level IN ('ERROR', 'SERVER_ERROR', 'CLIENT_ERROR')"
 DATED = "ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-21'"
 IN_LEVELS = "error_level IN ('SUCCESS', 'CLIENT_ERROR', 'INFO')"
-PIPELINE = f"""{LOGS} SELECT {NAMES} FROM logs
+COMBINED = f"""{LOGS} SELECT {NAMES} FROM logs
 WHERE {DATED} AND {IN_LEVELS} AND status_code IN (200, 404)"""
 MARK = "(SELECT max(ts) FROM logs WHERE ts < TIMESTAMP '2024-01-21')"
 
@@ -314,7 +314,7 @@ ORACLE: dict[str, str] = {
           string_agg(raw, chr(10) ORDER BY line_no) FILTER (WHERE line_no <= 10) AS sample
         FROM ({WRITTEN}) GROUP BY source""",
     "write_text": f"SELECT raw FROM ({ACCESS_LINES})",
-    "export_csv": PIPELINE,
+    "export_csv": COMBINED,
     "table_key_lookup": """
         SELECT c_custkey, c_name FROM customer
         WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)""",
@@ -350,7 +350,7 @@ ORACLE: dict[str, str] = {
     "filter_date_range": filtered(DATED),
     "filter_level": filtered(IN_LEVELS),
     "filter_status": filtered("(status_code IN (404, 408) OR status_code IS NULL)"),
-    "filter_pipeline": PIPELINE,
+    "filter_combined": COMBINED,
     "facet_values": f"""{LOGS}
         SELECT DISTINCT 'error_level' AS facet, error_level AS value FROM logs WHERE {DATED}
         UNION ALL

@@ -104,7 +104,7 @@ def write_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def export_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = filter_pipeline(spark, sf_dir)
+    rows = filter_combined(spark, sf_dir)
     path = sinks.export_csv(rows, new_shared_path(spark, "csv"))
     return sinks.read_exported_csv(spark, path, rows.schema)
 
@@ -151,9 +151,9 @@ def parse_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_access_strict(all_lines(spark, sf_dir))
 
 
-def filter_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def filter_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
     logs = access_logs(spark, sf_dir)
-    return ops.filter_pipeline(logs, START, END, LEVELS, STATUSES).select(PARSED)
+    return ops.filter_combined(logs, START, END, LEVELS, STATUSES).select(PARSED)
 
 
 def filtered(operator: Callable[..., DataFrame], *args, **kwargs) -> Query:
@@ -250,7 +250,7 @@ QUERIES: dict[str, Query] = {
     "filter_date_range": filtered(ops.filter_date_range, START, END),
     "filter_level": filtered(ops.filter_level, LEVELS),
     "filter_status": filtered(ops.filter_status, [404, 408, None]),
-    "filter_pipeline": filter_pipeline,
+    "filter_combined": filter_combined,
     "facet_values": lambda s, d: ops.facet_values(access_logs(s, d), START, END, LEVELS),
     "filter_errors": filtered(ops.filter_errors),
     "search_logs": filtered(ops.search_logs, SEARCH),

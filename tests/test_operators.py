@@ -68,7 +68,7 @@ def test_status_and_level_filters(logs):
     assert numbers(ops.filter_status(logs, [])) == []
     assert numbers(ops.filter_level(logs, ["INFO", "UNPARSED"])) == [3, 8]
     assert numbers(ops.filter_errors(logs)) == [2, 4, 6, 7]
-    chosen = ops.filter_pipeline(logs, date(2024, 1, 2), None, ["CLIENT_ERROR"], [404])
+    chosen = ops.filter_combined(logs, date(2024, 1, 2), None, ["CLIENT_ERROR"], [404])
     assert numbers(chosen) == [4, 7]
 
 

@@ -12,7 +12,7 @@ from weblens.operators.filters import (
     filter_date_range,
     filter_errors,
     filter_level,
-    filter_pipeline,
+    filter_combined,
     filter_recent,
     filter_status,
     search_logs,
@@ -57,7 +57,7 @@ __all__ = [
     "filter_date_range",
     "filter_errors",
     "filter_level",
-    "filter_pipeline",
+    "filter_combined",
     "filter_recent",
     "filter_status",
     "flag_new_errors",

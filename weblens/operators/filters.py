@@ -68,7 +68,7 @@ def filter_status(logs: DataFrame, statuses: Iterable[int | None] | None = None)
     return logs.where(keep)
 
 
-def filter_pipeline(
+def filter_combined(
     logs: DataFrame,
     start: date | None = None,
     end: date | None = None,

@@ -31,7 +31,7 @@ def dashboard(
         dated = ops.with_clock_if_any(logs)
     else:
         dated = ops.filter_date_range(logs, start, end)
-    view = ops.filter_pipeline(dated, levels=levels, statuses=statuses)
+    view = ops.filter_combined(dated, levels=levels, statuses=statuses)
     shown = ops.search_logs(view, search)
     return {
         "facet_values": ops.facet_values(dated, levels=levels),
