@@ -3,6 +3,8 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from registry.oracle import ORACLE
+from registry.queries import QUERIES
 from tests.compare import duck, duck_rows, spark_rows
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -14,10 +16,12 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries())
+    assert set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     assert spark_rows(queries()[name](spark, SF_DIR)) == duck_rows(con, oracle_sql()[name])
 
