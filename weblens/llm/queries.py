@@ -9,9 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weblens.llm.common import read_table
+from weblens.llm.decontaminate import contamination
+from weblens.llm.line_dedup import dedup_lines
+from weblens.llm.oracle import ORACLE
 from weblens.llm.pieces import decode_pieces, encode_pieces, read_model
 from weblens.llm.token_counts import count_tokens
 
+__all__ = ["ORACLE", "QUERIES"]
+
 MODEL = "piece_bpe_32k.model"
 
 
@@ -34,9 +39,28 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read_table(spark, sf_dir, "documents"), model)
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = (read_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return contamination(docs, items).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(docs).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op3_token_counts": op3_token_counts,
+    "op4_decontamination": op4_decontamination,
+    "op7_line_dedup": op7_line_dedup,
 }
-
-ORACLE: dict[str, str] = {}
