@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weblens.llm import quality, toxicity
 from weblens.llm.common import read_table
 from weblens.llm.decontaminate import contamination
+from weblens.llm.folds import held_out
 from weblens.llm.line_dedup import dedup_lines
 from weblens.llm.oracle import ORACLE
 from weblens.llm.pieces import decode_pieces, encode_pieces, read_model
@@ -58,9 +60,37 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def classified(
+    spark: SparkSession, sf_dir: str, train: Callable, score: Callable, threshold: float
+) -> DataFrame:
+    """Learn from labels that are not held out, then score every whole text."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(docs, read_table(spark, sf_dir, "labels"))
+    return score(docs, model).select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
+    )
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classified(
+        spark, sf_dir, quality.train_quality, quality.score_quality, quality.THRESHOLD
+    )
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classified(
+        spark, sf_dir, toxicity.train_toxicity, toxicity.score_toxicity, toxicity.THRESHOLD
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op3_token_counts": op3_token_counts,
     "op4_decontamination": op4_decontamination,
     "op7_line_dedup": op7_line_dedup,
+    "op8_quality": op8_quality,
+    "op9_toxicity": op9_toxicity,
 }
