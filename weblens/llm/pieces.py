@@ -29,18 +29,25 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as model_pb2
 
+from weblens.llm.common import share
+
 MARK = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, BYTE, USER_DEFINED = 1, 2, 6, 4
-# Words kept by a worker between batches, and pairs whose compatibility is kept.
-MEMO_WORDS = 500_000
+# Words after which a worker forgets those it has not met lately (twice as many stay at
+# most, besides a group's own), and pairs whose compatibility it keeps.
+MEMO_WORDS = 300_000
 MEMO_PAIRS = 1_000_000
+CODED = "__coded"
 # Texts are worked on in groups of at least so many characters.
 GROUP_CHARS = 1 << 20
+ID = ""  # a trie node's entry for the piece that ends there
+NOTHING = 1 << 23  # stands for what is before a word; ids and characters are smaller
+PAIR = 1 << 24
 UNKNOWN_PENALTY = 10.0  # fixed value of Unigram models: below the least score by so much
 
 
@@ -64,8 +71,11 @@ class PieceCoder:
             and not model.trainer_spec.treat_whitespace_as_suffix
         )
         self.prefixed = spec.add_dummy_prefix
-        self.ids: dict[str, int] = {}
+        self.size = len(model.pieces)
+        self.pieces = [p.piece for p in model.pieces]
+        self.scores_by_id = [p.score for p in model.pieces]
         self.scores: dict[str, float] = {}
+        self.vocabulary: dict = {}  # a trie: characters to nodes, and `ID` to a piece
         self.byte_ids: list[int] = [0] * 256
         self.unknown = 0
         self.falls_back = model.trainer_spec.byte_fallback
@@ -73,7 +83,10 @@ class PieceCoder:
         for i, piece in enumerate(model.pieces):
             out = b""
             if piece.type == NORMAL:
-                self.ids[piece.piece] = i
+                node = self.vocabulary
+                for char in piece.piece:
+                    node = node.setdefault(char, {})
+                node[ID] = i
                 self.scores[piece.piece] = piece.score
                 out = piece.piece.replace(MARK, " ").encode()
             elif piece.type == BYTE:
@@ -84,13 +97,13 @@ class PieceCoder:
                 self.unknown = i
                 out = model.trainer_spec.unk_surface.encode()
             self.bytes_of.append(out)
-        self.longest = max(map(len, self.ids), default=1)
-        crossing = any(MARK in p.lstrip(MARK) for p in self.ids)
+        crossing = any(MARK in p.lstrip(MARK) for p in self.scores)
         self.quick = self.plain and not crossing
         self.word = re.compile(r"(?s).+" if crossing else rf"{MARK}*[^{MARK}]+|{MARK}+")
         self.unknown_score = min(self.scores.values(), default=0.0) - UNKNOWN_PENALTY
-        self.pairs: dict[tuple[str | None, str], bool] = {}
-        self.words: dict[str, list[int]] = {}
+        self.pairs: dict[int, bool] = {}
+        self.words: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     # --- encoding
 
@@ -108,64 +121,89 @@ class PieceCoder:
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         split = [self.marked_words(t) for t in texts]
-        new = set(chain.from_iterable(split)).difference(self.words)
-        if len(self.words) + len(new) > MEMO_WORDS:
-            self.words.clear()
-            new = set(chain.from_iterable(split))
-        self._learn(sorted(new))
+        distinct = set(chain.from_iterable(split))
+        if len(self.words) > MEMO_WORDS:  # words met since stay, older ones go
+            self.older, self.words = self.words, {}
+        new = distinct.difference(self.words)
+        met = new.intersection(self.older)
+        for word in met:
+            self.words[word] = self.older[word]
+        self._learn(sorted(new - met))
         known = self.words.__getitem__
         return [list(chain.from_iterable(map(known, words))) for words in split]
 
     def _learn(self, words: list[str]) -> None:
-        """Depth-first over the trie of sorted words."""
-        step = self._merged_state if self.kind == BPE else self._best_state
-        states: list[tuple] = [(0, None, 0.0)]
+        """Depth-first over the trie of sorted words.
+
+        The lists have an entry for each prefix of the word at hand: the pieces of the
+        vocabulary that may still go on (where each began and its node in the vocabulary's
+        trie), and the forward state: where the prefix's last piece begins, its id, and the
+        score.
+        """
+        merges, root, size = self.kind == BPE, self.vocabulary, self.size
+        pairs, compatible = self.pairs, self._compatible
+        open_pieces: list[list] = [[]]
+        begins, last, scores = [0], [NOTHING], [0.0]
         before = ""
         for word in words:
             same, most = 0, min(len(before), len(word))
             while same < most and before[same] == word[same]:
                 same += 1
-            del states[same + 1 :]
-            for end in range(same + 1, len(word) + 1):
-                states.append(step(word, end, states))
-            self.words[word] = self._ids_of(word, states)
+            for kept in (open_pieces, begins, last, scores):
+                del kept[same + 1 :]
+            for at in range(same, len(word)):
+                char = word[at]
+                going, ending = [], []
+                for begin, node in open_pieces[at]:
+                    node = node.get(char)
+                    if node is not None:
+                        going.append((begin, node))
+                        if ID in node:
+                            ending.append((begin, node[ID]))
+                open_pieces.append(going)
+                node = root.get(char)
+                if node is not None:
+                    going.append((at, node))
+                    alone = node.get(ID, size + ord(char))
+                else:
+                    alone = size + ord(char)
+                if not merges:
+                    self._best(ending, at, alone, begins, last, scores)
+                    continue
+                for begin, found in ending:  # the longest first; only one fits
+                    pair = last[begin] * PAIR + found
+                    fits = pairs.get(pair)
+                    if fits or (fits is None and compatible(pair, last[begin], found)):
+                        begins.append(begin)
+                        last.append(found)
+                        break
+                else:
+                    begins.append(at)
+                    last.append(alone)
+            self.words[word] = self._ids_of(begins, last)
             before = word
 
-    def _best_state(self, word: str, end: int, states: list) -> tuple:
-        """(start of the last piece, the piece, best score): the usual Viterbi step."""
-        best = None
-        for start in range(max(0, end - self.longest), end):
-            piece = word[start:end]
-            score = self.scores.get(piece)
-            if score is None:
-                if start != end - 1:
-                    continue
-                score = self.unknown_score
-            score += states[start][2]
-            if best is None or score > best[2]:
-                best = (start, piece, score)
-        return best
-
-    def _merged_state(self, word: str, end: int, states: list) -> tuple:
-        """(start of the last piece, the piece, 0): the one piece that merging ends with."""
-        ids, pairs = self.ids, self.pairs
-        for start in range(max(0, end - self.longest), end - 1):
-            piece = word[start:end]
-            if piece in ids:
-                pair = (states[start][1], piece)
-                fits = pairs.get(pair)
-                if fits is None:
-                    fits = self._compatible(*pair)
-                if fits:
-                    return (start, piece, 0.0)
-        return (end - 1, word[end - 1], 0.0)
-
-    def _compatible(self, left: str | None, right: str) -> bool:
+    def _best(self, ending, at, alone, begins, last, scores) -> None:
+        """The usual Viterbi step: the piece that makes the best sum of scores."""
+        score = self.scores_by_id[alone] if alone < self.size else self.unknown_score
+        begin, piece, best = at, alone, scores[at] + score
+        for start, found in ending:
+            score = scores[start] + self.scores_by_id[found]
+            if score > best or (score == best and start < begin):
+                begin, piece, best = start, found, score
+        begins.append(begin)
+        last.append(piece)
+        scores.append(best)
+
+    def _text_of(self, piece: int) -> str:
+        return self.pieces[piece] if piece < self.size else chr(piece - self.size)
+
+    def _compatible(self, pair: int, left: int, right: int) -> bool:
         if len(self.pairs) >= MEMO_PAIRS:
             self.pairs.clear()
-        expected = [right] if left is None else [left, right]
-        fits = self.merge((left or "") + right) == expected
-        self.pairs[(left, right)] = fits
+        expected = [self._text_of(p) for p in (left, right) if p != NOTHING]
+        fits = self.merge("".join(expected)) == expected
+        self.pairs[pair] = fits
         return fits
 
     def merge(self, text: str) -> list[str]:
@@ -182,21 +220,19 @@ class PieceCoder:
             i = min(found)[1]
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
 
-    def _ids_of(self, word: str, states: list) -> list[int]:
+    def _ids_of(self, begins: list[int], last: list[int]) -> tuple[int, ...]:
         out: list[int] = []
-        end = len(word)
+        end = len(begins) - 1
         while end:
-            start, piece, _ = states[end]
-            known = self.ids.get(piece)
-            if known is not None:
-                out.append(known)
+            piece = last[end]
+            if piece < self.size:
+                out.append(piece)
             elif self.falls_back:
-                out.extend(self.byte_ids[b] for b in reversed(piece.encode()))
+                out.extend(self.byte_ids[b] for b in reversed(self._text_of(piece).encode()))
             elif not (out and out[-1] == self.unknown):  # the library joins unknown neighbours
                 out.append(self.unknown)
-            end = start
-        out.reverse()
-        return out
+            end = begins[end]
+        return tuple(reversed(out))
 
     # --- decoding
 
@@ -245,24 +281,47 @@ def read_model(path: str) -> bytes:
 
 
 def encode_pieces(
-    docs: DataFrame, model_proto: bytes, text: str = "text", out: str = "piece_ids"
+    docs: DataFrame,
+    model_proto: bytes,
+    text: str = "text",
+    out: str = "piece_ids",
+    decoded: str | None = None,
 ) -> DataFrame:
     """`docs` with the ids of each text's pieces in the column `out`.
 
-    Null and empty texts have no pieces. Ids stay in one row, in order, however long the text
-    is. Rows are encoded one by one, so repeated rows get equal lists. A column already named
-    `out` is replaced; all others are kept, whatever their names.
+    With `decoded`, a column of that name gets the text that the ids decode to, worked out
+    in the same pass. Null and empty texts have no pieces and decode to empty text. Ids stay
+    in one row, in order, however long the text is. Rows are encoded one by one, so repeated
+    rows get equal lists. Columns already named so are replaced; all others are kept,
+    whatever their names.
     """
-    model = _shared(docs.sparkSession, model_proto)
+    model = share(docs.sparkSession, model_proto)
+    both = decoded is not None
 
-    @F.arrow_udf("array<int>")
-    def encode(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def ids_and_texts(texts: list[str | None]) -> tuple[list[pa.Array], list[pa.Array]]:
         coder = coder_of(model.value)
+        ids, back = [], []
+        for group in groups(texts):
+            rows = coder.encode(group)
+            ids.append(int_lists(rows))
+            back.append(pa.array(map(coder.decode, rows) if both else [], pa.string()))
+        return ids, back
+
+    @F.arrow_udf("struct<ids:array<int>,text:string>" if both else "array<int>")
+    def encode(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in parts:
-            done = [int_lists(coder.encode(g)) for g in groups(part.to_pylist())]
-            yield pa.concat_arrays(done) if done else pa.array([], pa.list_(pa.int32()))
+            ids, back = ids_and_texts(part.to_pylist())
+            coded = pa.concat_arrays(ids or [pa.array([], pa.list_(pa.int32()))])
+            if both:
+                texts = pa.concat_arrays(back or [pa.array([], pa.string())])
+                coded = pa.StructArray.from_arrays([coded, texts], names=["ids", "text"])
+            yield coded
 
-    return docs.withColumn(out, encode(F.col(text)))
+    if not both:
+        return docs.withColumn(out, encode(F.col(text)))
+    coded = docs.withColumn(CODED, encode(F.col(text)))
+    coded = coded.withColumn(out, F.col(CODED)["ids"]).withColumn(decoded, F.col(CODED)["text"])
+    return coded.drop(CODED)
 
 
 def decode_pieces(
@@ -272,7 +331,7 @@ def decode_pieces(
 
     An id outside the vocabulary is an error, a null within a list counts as no id.
     """
-    model = _shared(docs.sparkSession, model_proto)
+    model = share(docs.sparkSession, model_proto)
 
     @F.arrow_udf("string")
     def decode(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -287,8 +346,3 @@ def decode_pieces(
             )
 
     return docs.withColumn(out, decode(F.col(ids)))
-
-
-def _shared(spark: SparkSession, model_proto: bytes):
-    """The model's file, at most a few MB whatever the input, for every worker."""
-    return spark.sparkContext.broadcast(model_proto)

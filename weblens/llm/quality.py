@@ -23,13 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weblens.llm.common import share
 from weblens.llm.folds import sample_ids, sampled
 from weblens.llm.hashed_words import BLANK, Words, byte_class, mix, parts, text_bytes
 
 THRESHOLD = 0.7
 # At most so many trusted positives, and as many unlabelled rows, are learnt from.
 MOST_ROWS = 4000
-HIDDEN, EPOCHS, BATCH, RATE = 16, 60, 256, 0.01
+HIDDEN, STEPS, BATCH, RATE = 16, 1000, 256, 0.01
 
 UPPER, DIGIT = byte_class((0x41, 0x5A)), byte_class((0x30, 0x39))
 LETTER = byte_class((0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
@@ -154,7 +155,7 @@ def fit(good: np.ndarray, unlabelled: np.ndarray, prior: float, seed: int = 7) -
     state = [(np.zeros_like(v), np.zeros_like(v)) for v in values]
     step = 0
     steps = max(1, max(len(good), len(unlabelled)) // BATCH)
-    for _ in range(EPOCHS):
+    for _ in range(max(1, STEPS // steps)):
         g_parts = np.array_split(rng.permutation(len(good)), steps)
         u_parts = np.array_split(rng.permutation(len(unlabelled)), steps)
         for gi, ui in zip(g_parts, u_parts, strict=True):
@@ -238,7 +239,7 @@ def score_quality(
 
     Null and empty texts get the score of a text without words. Rows are scored one by one.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
 
     @F.arrow_udf("double")
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

@@ -14,7 +14,7 @@ from weblens.llm.decontaminate import contamination
 from weblens.llm.folds import held_out
 from weblens.llm.line_dedup import dedup_lines
 from weblens.llm.oracle import ORACLE
-from weblens.llm.pieces import decode_pieces, encode_pieces, read_model
+from weblens.llm.pieces import encode_pieces, read_model
 from weblens.llm.token_counts import count_tokens
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -26,7 +26,7 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document's pieces, and the text they decode to."""
     model = read_model(public_tokenizers.path(MODEL))
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = decode_pieces(encode_pieces(docs, model), model)
+    coded = encode_pieces(docs, model, decoded="decoded")
     return coded.select(
         "doc_id",
         F.size("piece_ids").cast("long").alias("n_pieces"),

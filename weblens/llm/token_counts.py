@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 from sentencepiece import sentencepiece_model_pb2 as model_pb2
 
-from weblens.llm.common import KEY, KEY_TYPE, batch_of, row_key
+from weblens.llm.common import KEY, KEY_TYPE, batch_of, row_key, share
 from weblens.llm.pieces import BYTE, MARK, NORMAL, groups
 from weblens.shared import cut_lineage
 
@@ -147,7 +147,7 @@ def count_tokens(
     Repeated rows each give a row; a null id stays null. Texts of any length are counted
     whole, at most a chunk and its overlap at a time. Other columns are not read.
     """
-    model = docs.sparkSession.sparkContext.broadcast(model_proto)
+    model = share(docs.sparkSession, model_proto)
 
     @F.arrow_udf("long")
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
