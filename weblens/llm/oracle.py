@@ -62,7 +62,29 @@ SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_
 FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
+WARC = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages
+),
+firsts AS (SELECT payload, min(page_id) AS first FROM p GROUP BY payload),
+fives AS (
+  SELECT page_id, p.payload, first,
+    list_transform(range(0, 8), lambda j: CAST('0x' || substr(hex, CAST(5 * j + 1 AS INT), 5) AS INT)) AS v
+  FROM p JOIN firsts ON p.payload = firsts.payload
+)
+SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(v, lambda x:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((x >> 15) & 31) + 1, 1)
+    || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((x >> 10) & 31) + 1, 1)
+    || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((x >> 5) & 31) + 1, 1)
+    || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (x & 31) + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id > first THEN first END AS refers_to
+FROM fives
+"""
+
 ORACLE = {
+    "op2_warc": WARC,
     "op4_decontamination": DECONTAMINATION,
     "op7_line_dedup": LINE_DEDUP,
 }

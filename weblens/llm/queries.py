@@ -16,6 +16,7 @@ from weblens.llm.line_dedup import dedup_lines
 from weblens.llm.oracle import ORACLE
 from weblens.llm.pieces import encode_pieces, read_model
 from weblens.llm.token_counts import count_tokens
+from weblens.llm.warc import archive_and_read_back
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -36,6 +37,13 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = archive_and_read_back(read_table(spark, sf_dir, "pages"))
+    return records.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = read_model(public_tokenizers.path(MODEL))
     return count_tokens(read_table(spark, sf_dir, "documents"), model)
@@ -88,6 +96,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_warc": op2_warc,
     "op3_token_counts": op3_token_counts,
     "op4_decontamination": op4_decontamination,
     "op7_line_dedup": op7_line_dedup,
