@@ -12,6 +12,7 @@ from weblens.llm import quality, toxicity
 from weblens.llm.common import read_table
 from weblens.llm.decontaminate import contamination
 from weblens.llm.folds import held_out
+from weblens.llm.jaccard_join import near_duplicates
 from weblens.llm.line_dedup import dedup_lines
 from weblens.llm.oracle import ORACLE
 from weblens.llm.pieces import encode_pieces, read_model
@@ -94,6 +95,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_warc": op2_warc,
@@ -102,4 +107,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_line_dedup": op7_line_dedup,
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
+    "op10_jaccard_join": op10_jaccard_join,
 }
