@@ -1,5 +1,7 @@
 """The queries of this folder in SQL for DuckDB, where SQL can express them."""
 
+from weblens.llm.licences import RULES, SENTENCES
+
 LINE_DEDUP = r"""
 WITH cut AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
 lines AS (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS no FROM cut),
@@ -83,8 +85,68 @@ SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes,
 FROM fives
 """
 
+LICENCES = r"""
+WITH known(sentence, name) AS (VALUES
+@sentences@
+),
+rules(sequence, licence) AS (VALUES
+@rules@
+),
+parts AS (
+  SELECT doc_id, regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.!?;:]+[ \t\f\r\n]+|[\r\n]+') AS parts FROM documents
+),
+places AS (SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS no FROM parts),
+named AS (
+  SELECT doc_id, no, name FROM places
+  JOIN known ON trim(regexp_replace(part, '[^a-z0-9]+', ' ', 'g')) = sentence
+),
+found AS (SELECT doc_id, string_agg(name, ' ' ORDER BY no) AS names FROM named GROUP BY doc_id),
+fitting AS (
+  SELECT doc_id, sequence, licence FROM found JOIN rules
+  ON contains(' ' || names || ' ', sequence)
+),
+longest AS (
+  SELECT DISTINCT doc_id, licence FROM fitting f WHERE NOT EXISTS (
+    SELECT 1 FROM fitting g WHERE g.doc_id IS NOT DISTINCT FROM f.doc_id
+    AND g.sequence <> f.sequence AND contains(g.sequence, f.sequence)
+  )
+),
+licences AS (SELECT doc_id, string_agg(licence, ',' ORDER BY licence) AS licences FROM longest GROUP BY doc_id)
+SELECT d.doc_id, coalesce(replace(names, ' ', ','), '') AS sentence_ids, coalesce(licences, '') AS licences
+FROM documents d LEFT JOIN found USING (doc_id) LEFT JOIN licences USING (doc_id)
+"""
+
+def _values(rows: list[tuple[str, str]]) -> str:
+    return ",\n".join(f"  ('{a}', '{b}')" for a, b in rows)
+
+
+LICENCES = LICENCES.replace("@sentences@", _values([(t, n) for n, t in SENTENCES.items()]))
+LICENCES = LICENCES.replace("@rules@", _values([(f" {k} ", v) for k, v in RULES.items()]))
+
+TOP_K = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank,
+    vec_id, score FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
 ORACLE = {
     "op2_warc": WARC,
     "op4_decontamination": DECONTAMINATION,
+    "op5_top_k": TOP_K,
+    "op6_licences": LICENCES,
     "op7_line_dedup": LINE_DEDUP,
 }

@@ -13,10 +13,12 @@ from weblens.llm.common import read_table
 from weblens.llm.decontaminate import contamination
 from weblens.llm.folds import held_out
 from weblens.llm.jaccard_join import near_duplicates
+from weblens.llm.licences import scan_licences
 from weblens.llm.line_dedup import dedup_lines
 from weblens.llm.oracle import ORACLE
 from weblens.llm.pieces import encode_pieces, read_model
 from weblens.llm.token_counts import count_tokens
+from weblens.llm.top_k import top_k
 from weblens.llm.warc import archive_and_read_back
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -62,6 +64,20 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return top_k(vectors, F.col("vec_id") % 50 == 0)
+
+
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licences(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        F.concat_ws(",", "sentences").alias("sentence_ids"),
+        F.concat_ws(",", "licences").alias("licences"),
+    )
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_lines(docs).select(
@@ -104,6 +120,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc": op2_warc,
     "op3_token_counts": op3_token_counts,
     "op4_decontamination": op4_decontamination,
+    "op5_top_k": op5_top_k,
+    "op6_licences": op6_licences,
     "op7_line_dedup": op7_line_dedup,
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
