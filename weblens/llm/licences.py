@@ -89,9 +89,11 @@ def normalised(sentence: Column) -> Column:
 
 
 def known_sentences(spark: SparkSession, sentences: dict[str, str]) -> DataFrame:
-    return spark.createDataFrame(
-        [(text, name) for name, text in sentences.items()], "sentence string, name string"
-    )
+    rows = [
+        F.struct(F.lit(text).alias("sentence"), F.lit(name).alias("name"))
+        for name, text in sentences.items()
+    ]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def matched_licences(names: Column, rules: dict[str, str]) -> Column:
