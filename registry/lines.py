@@ -38,9 +38,8 @@ concat(date_format(ts, 'yyyy-MM-dd HH:mm:ss'), ' ',
 
 LINE_OF = {"access.log": ACCESS_LINE, "error.log": ERROR_LINE, "app.log": GENERIC_LINE}
 
-# Written files hold an eighth of the lines each, within these bounds.
-FILES = 8
-MIN_LINES, MAX_LINES = 1_000, 1_000_000
+# Lines of a written file.
+LINES_PER_FILE = 2_500
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -108,7 +107,11 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_log_files(
-    spark: SparkSession, sf_dir: str, *files: str, lines_per_file: int | None = None
+    spark: SparkSession,
+    sf_dir: str,
+    *files: str,
+    lines_per_file: int = LINES_PER_FILE,
+    compression: str = "none",
 ) -> str:
     """Write derived lines as text files under the shared folder, in order.
 
@@ -116,9 +119,6 @@ def write_log_files(
     one task. Returns the folder.
     """
     lines = log_lines(spark, sf_dir, *files)
-    if lines_per_file is None:
-        total = table(spark, sf_dir, "events").count()
-        lines_per_file = max(MIN_LINES, min(MAX_LINES, total // FILES))
     part = F.floor((F.col("line_no") - 1) / lines_per_file)
     path = new_shared_path(spark, "logs")
     (
@@ -128,6 +128,7 @@ def write_log_files(
         .select("source", "part", "raw")
         .write.partitionBy("source", "part")
         .option("lineSep", "\n")
+        .option("compression", compression)
         .text(path)
     )
     return path

@@ -62,6 +62,7 @@ ALL_LINES = f"{LOG_LINES} UNION ALL {PROSE_LINES}"
 
 # --- parsing -----------------------------------------------------------------------
 
+# The patterns of the four line formats.
 ACCESS_RE = r'^(\S+) \S+ \S+ \[(.*?)\] "(\S+) (\S+) (\S+)" (\d+) (\S+)'
 NGINX_RE = r'^(\S+) - - \[(.*?)\] "(\S+) (\S+) (\S+)" (\d+) (\d+)'
 ERROR_RE = r"^\[(.*?)\] \[(.*?)\] (.*)"
@@ -283,7 +284,7 @@ def alerts(rows: str) -> str:
 
 # --- written files -----------------------------------------------------------------
 
-PER_FILE = "(SELECT greatest(1000, least(1000000, count(*) // 8)) FROM events)"
+PER_FILE = 2500
 WRITTEN = f"""
 SELECT file_path || '/' || ((line_no - 1) // {PER_FILE}) AS source,
   (line_no - 1) % {PER_FILE} + 1 AS line_no, raw
@@ -303,7 +304,9 @@ METHODS = counted("method", "method", "n")
 STATUSES = f"{counted('status_code', 'status_code', 'n')} ORDER BY n DESC, status_code LIMIT 10"
 
 ORACLE: dict[str, str] = {
-    "scan_log_text": f"SELECT source, raw FROM ({WRITTEN})",
+    "scan_log_text": f"""
+        SELECT source, raw FROM ({WRITTEN})
+        UNION ALL SELECT source, raw FROM ({WRITTEN}) WHERE source LIKE 'app.log/%'""",
     "scan_with_line_no": WRITTEN,
     "log_file_inventory": f"""
         SELECT source, 'file' AS type, CAST(sum(strlen(raw) + 1) AS BIGINT) AS size
@@ -350,7 +353,7 @@ ORACLE: dict[str, str] = {
     "filter_date_range": filtered(DATED),
     "filter_level": filtered(IN_LEVELS),
     "filter_status": filtered("(status_code IN (404, 408) OR status_code IS NULL)"),
-    "filter_combined": COMBINED,
+    "filter_pipeline": COMBINED,
     "facet_values": f"""{LOGS}
         SELECT DISTINCT 'error_level' AS facet, error_level AS value FROM logs WHERE {DATED}
         UNION ALL

@@ -78,7 +78,9 @@ def high_water(logs: DataFrame) -> DataFrame:
 
 
 def scan_log_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scan = sources.scan_log_text(spark, log_files(spark, sf_dir))
+    """Plain files, and zipped ones of another log."""
+    zipped = L.write_log_files(spark, sf_dir, "app.log", compression="gzip")
+    scan = sources.scan_log_text(spark, [log_files(spark, sf_dir), zipped])
     return scan.select(L.source_name("file_path").alias("source"), "raw")
 
 
@@ -250,7 +252,7 @@ QUERIES: dict[str, Query] = {
     "filter_date_range": filtered(ops.filter_date_range, START, END),
     "filter_level": filtered(ops.filter_level, LEVELS),
     "filter_status": filtered(ops.filter_status, [404, 408, None]),
-    "filter_combined": filter_combined,
+    "filter_pipeline": filter_combined,
     "facet_values": lambda s, d: ops.facet_values(access_logs(s, d), START, END, LEVELS),
     "filter_errors": filtered(ops.filter_errors),
     "search_logs": filtered(ops.search_logs, SEARCH),

@@ -163,7 +163,7 @@ def test_five_tokens_by_quotes(lines):
 
 
 def test_long_broken_lines_finish(lines):
-    long = ["x" * 200_000, 'x "' + "y " * 100_000, "[" * 2_000 + " a b c d", '"' * 50_001]
+    long = ["x" * 200_000, 'x "' + "y " * 100_000, "[" * 200_000 + " a b c d", '"' * 50_001]
     assert parse_logs(lines(long), "apache").count() == 4
     assert parse_logs(lines(long), "generic").where("ts IS NULL").count() == 4
     assert parse_logs(lines(long), "error").where("parse_status = 'unparsed'").count() == 4

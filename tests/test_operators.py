@@ -243,7 +243,7 @@ def test_dashboard(logs):
     assert got["kpi_summary"].first().total_requests == 7
     assert numbers(got["rows"]) == [2, 7]
     assert numbers(got["latest_errors"]) == [2, 7]
-    assert numbers(got["new_errors"]) == [6, 7]
+    assert numbers(got["new_errors"]) == [7]
     for frame in got.values():
         assert frame.columns
     dated = dashboard(logs, date(2024, 1, 2), statuses=[404])

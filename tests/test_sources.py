@@ -1,5 +1,7 @@
 """Scans: order, numbering and detection must not depend on how files are split."""
 
+import gzip
+
 import pytest
 
 from tests.compare import plan_of
@@ -24,7 +26,11 @@ ACCESS = '10.0.0.{n} - - [23/Nov/2025:08:15:23 +0000] "GET /{n} HTTP/1.1" 200 {n
 @pytest.fixture
 def small_splits(spark):
     """Split files into blocks of a few lines."""
-    keys = {"spark.sql.files.maxPartitionBytes": "300", "spark.sql.files.openCostInBytes": "1"}
+    keys = {
+        "spark.sql.files.maxPartitionBytes": "300",
+        "spark.sql.files.openCostInBytes": "1",
+        "spark.sql.files.minPartitionNum": "1",
+    }
     for key, value in keys.items():
         spark.conf.set(key, value)
     yield
@@ -48,7 +54,8 @@ FILES = {
     "a.log": "\n".join(ACCESS.format(n=n) for n in range(1, 101)) + "\n",
     "b.txt": "\n \n" + "\n".join(f"[x] [error] {n}" for n in range(60)) + "\n\n",
     "deep/c.log": "\n".join(f"line {n}" for n in range(30)),
-    "ignored.csv": "nothing",
+    "access.log.1": "rotated\nlines\n",
+    "access": "no ending",
     "empty.log": "",
     "blank.log": "\n\n  \n",
 }
@@ -57,7 +64,7 @@ FILES = {
 def expected_lines():
     got = {}
     for name, text in FILES.items():
-        if name.endswith((".log", ".txt")) and text:
+        if text:
             rows = text.removesuffix("\n").split("\n")
             got |= {(name.rsplit("/", 1)[-1], n): row for n, row in enumerate(rows, 1)}
     return got
@@ -86,7 +93,9 @@ def test_bounds_of_index_and_of_lines_agree(spark, tmp_path, small_splits):
     from_index = {tuple(r) for r in index_bounds(index).collect()}
     assert from_index == {tuple(r) for r in text_bounds(number_lines(scan, index)).collect()}
     ends = {p.rsplit("/", 1)[-1]: (lo, hi) for p, lo, hi in from_index}
-    assert ends == {"a.log": (1, 100), "b.txt": (3, 62), "c.log": (1, 30)}
+    assert ends == {
+        "a.log": (1, 100), "b.txt": (3, 62), "c.log": (1, 30), "access.log.1": (1, 2), "access": (1, 1)
+    }
 
 
 def test_another_split_fails_instead_of_misnumbering(spark, tmp_path, small_splits):
@@ -126,6 +135,8 @@ def test_read_logs_detects_each_file(spark, tmp_path, small_splits):
         ("a.log", "apache", "matched"): 100,
         ("b.txt", "error", "matched"): 60,
         ("c.log", "generic", "matched"): 30,
+        ("access.log.1", "generic", "matched"): 2,
+        ("access", "generic", "matched"): 1,
     }
 
 
@@ -231,3 +242,25 @@ def test_latest_errors_do_not_depend_on_the_split(spark, tmp_path, small_splits)
     by_line = latest_errors(parse_logs(number_lines(scan), "apache"), 7).collect()
     assert [r.raw for r in by_scan] == [r.raw for r in by_line]
     assert [r.path for r in by_scan] == [f"/{n}" for n in range(93, 100)]
+
+
+def test_any_file_a_path_names_is_read(spark, tmp_path):
+    text = "".join(ACCESS.format(n=n) + "\n" for n in range(5))
+    names = ["access", "access.log.1", "access.log.2024-01-01", "access.csv"]
+    path = write(tmp_path, {n: text for n in names} | {"access.log.gz": gzip.compress(text.encode())})
+    assert read_logs(spark, path, "apache").count() == 25
+    for name in ("access.log.1", "access.log.gz"):
+        assert read_logs(spark, f"{path}/{name}", "apache").where("status_code = 200").count() == 5
+    assert read_logs(spark, path, "apache", glob="*.csv").count() == 5
+
+
+def test_numbering_survives_another_number_of_cores(spark, tmp_path):
+    path = write(tmp_path, {"big.log": "\n".join(f"line {n:060d}" for n in range(150_000))})
+    index = line_index(scan_log_text(spark, path))
+    spark.conf.set("spark.sql.leafNodeDefaultParallelism", "64")
+    try:
+        numbered = number_lines(scan_log_text(spark, path), index)
+        assert numbered.where("raw <> concat('line ', lpad(line_no - 1, 60, '0'))").isEmpty()
+        assert numbered.count() == 150_000
+    finally:
+        spark.conf.unset("spark.sql.leafNodeDefaultParallelism")

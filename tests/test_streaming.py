@@ -94,6 +94,19 @@ def test_live_traffic_is_recent_traffic(spark, folder, tmp_path):
     assert run() == batch() and len(batch()) == 1
 
 
+def test_a_late_row_on_the_edge_counts(spark, folder, tmp_path):
+    target, checkpoint = str(tmp_path / "views"), str(tmp_path / "cp")
+    folder.add(line(START), line(START + timedelta(minutes=5)))
+    folder.add(line(START), "noise")
+    query = stream_minute_traffic(folder.stream(spark), target, checkpoint, trigger=NOW)
+    query.awaitTermination()
+    view = live_minute_traffic(spark, target).orderBy("minute").collect()
+    assert [r.requests for r in view] == [2, 1]
+    # The state of a batch is worked out once, although the batch's counts are used twice.
+    first = next(p for p in query.recentProgress if p.numInputRows)
+    assert first.stateOperators[0].numRowsUpdated == 2
+
+
 def watch(spark, folder, tmp_path):
     paths = [str(tmp_path / n) for n in ("alerts", "state", "cp")]
     watch_new_errors(folder.stream(spark), *paths, trigger=NOW).awaitTermination()

@@ -94,11 +94,11 @@ _NGINX_LINE = rf"(?<ip>\S+) - - \[{_BRACKET}\] {_REQUEST} (?<status>\d+) (?<size
 # A malformed access line: at least five tokens, parted by blanks or quotes.
 _ENOUGH_TOKENS = rf"(?=(?>[^\s\"]*+(?:\s*\"\s*|\s+)){{{MIN_FALLBACK_TOKENS - 1}}})"
 _FIRST_TOKEN = r"(?=(?<ipB>[^\s\"]*+))"
-# The first bracket anywhere; a clock counts only if the bracket holds more than it.
+# The first bracket anywhere: if it does not end, no later one does. A clock counts only if the bracket holds more than it.
 _ZONED = rf"(?=[^\]\n]*[ ]|\S+\s+(?:{ZONE})\])"
 _ANY_BRACKET = (
-    rf"(?:(?=.*?(?<textB>\[(?:{_ZONED}\s*{access_clock('B')}(?=[\s\]])"
-    rf"(?:\s+(?<zoneB>{ZONE})(?=\]))?)?.*?\]))|)"
+    rf"(?:(?=[^\[]*+(?<textB>\[(?:{_ZONED}\s*{access_clock('B')}(?=[\s\]])"
+    rf"(?:\s+(?<zoneB>{ZONE})(?=\]))?)?[^\]]*+\]))|)"
 )
 # The first quoted text is the request; what follows the last quote is status and size.
 _QUOTED = (
@@ -230,7 +230,7 @@ ERROR_LOG = LineFormat(
 # The first form that occurs anywhere, in this order, decides, even if it is no date.
 _FREE_LINE = (
     rf"(?:(?=.*?{iso_clock('A')})|(?=.*?{access_clock('B').replace('{1,2}', '{2}')})"
-    rf"|(?=.*?\[(?:{bracket_clocks()})?.*?\])|).*"
+    rf"|(?=[^\[]*+\[(?:{bracket_clocks()})?[^\]]*+\])|).*"
 )
 _FREE_PARTS = (*clock_parts(named="BFGH", numbered="ACDE"), "${zoneC}")
 

@@ -142,7 +142,7 @@ def search_logs(logs: DataFrame, term: str, literal: bool = False) -> DataFrame:
     names = [c for c in SEARCHED if c in logs.columns and not (plain and c in RAW_PIECES)]
     cells = [F.col(c).cast("string") for c in names]
     if _ACROSS_LINES.search(term):
-        return logs.where(reduce(or_, [cell.rlike("(?iu)" + term) for cell in cells]))
+        return logs.where(reduce(or_, [cell.rlike("(?iud)" + term) for cell in cells]))
     # The joined text comes out of a generator, so that parsing is not repeated in the filter.
     joined = logs.select("*", F.explode(F.array(F.concat_ws("\n", *cells))).alias("_cells"))
     return joined.where(F.col("_cells").rlike("(?iumd)" + term)).drop("_cells")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weblens import schema as S
+from weblens.shared import broadcast_within_limit, cut_lineage
 
 CHUNK_LINES = 1 << 17
 
@@ -14,8 +15,9 @@ def number_entries(logs: DataFrame, name: str = "entry_number") -> DataFrame:
     """Number the rows of each file 1, 2, 3, … in file order, after any filter.
 
     Rows are numbered within bounded stretches of a file (a fixed span of lines, or one
-    block of a scan) and shifted by the count of the stretches before; a file of any size
-    spreads over many tasks. Both sides share the shuffle on (file, stretch).
+    block of a scan) and written; the count of each stretch is read from that table and
+    shifts those behind it. So the text is read and parsed once, and a file of any size
+    spreads over many tasks.
     """
     order = S.file_order(logs)
     stretch = (
@@ -23,23 +25,20 @@ def number_entries(logs: DataFrame, name: str = "entry_number") -> DataFrame:
         if order == list(S.EXACT_ORDER)
         else F.col("block_start")
     )
+    within = Window.partitionBy("file_path", "_stretch").orderBy(*order[1:])
     rows = logs.withColumn("_stretch", stretch)
+    numbered = cut_lineage(rows.withColumn("_row", F.row_number().over(within)))
     earlier = (
         Window.partitionBy("file_path")
         .orderBy("_stretch")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    before = (
-        rows.groupBy("file_path", "_stretch")
-        .agg(F.count("*").alias("_n"))
-        .select(
-            "file_path", "_stretch", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
-        )
+    counts = numbered.groupBy("file_path", "_stretch").agg(F.max("_row").alias("_n"))
+    before = counts.select(
+        "file_path", "_stretch", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
     )
-    within = Window.partitionBy("file_path", "_stretch").orderBy(*order[1:])
-    numbered = rows.withColumn("_row", F.row_number().over(within))
     return (
-        numbered.join(before, ["file_path", "_stretch"])
+        numbered.join(broadcast_within_limit(cut_lineage(before)), ["file_path", "_stretch"])
         .withColumn(name, (F.col("_before") + F.col("_row")).cast("bigint"))
         .select(name, *logs.columns)
     )

@@ -9,7 +9,6 @@ from weblens.plans.detect import detect_format
 from weblens.plans.parse import parse_logs
 from weblens.shared import spread
 from weblens.sources.text import (
-    TEXT_GLOB,
     index_bounds,
     line_index,
     number_lines,
@@ -23,7 +22,7 @@ def read_logs(
     spark: SparkSession,
     path: str | list[str],
     format: str | None = None,
-    glob: str | None = TEXT_GLOB,
+    glob: str | None = None,
     numbered: bool = False,
 ) -> DataFrame:
     """Parsed lines of all log files under `path`.
@@ -37,7 +36,7 @@ def read_logs(
     if format is not None and not numbered:
         return parse_logs(spread(scan), format)
     index = line_index(scan)
-    lines = spread(number_lines(scan, index))
+    lines = number_lines(spread(scan), index)
     if format is not None:
         return parse_logs(lines, format)
     return parse_logs(lines, formats=detect_format(lines, index_bounds(index)))

@@ -11,7 +11,8 @@ HEAD_LINES = 10
 def log_profile(lines: DataFrame) -> DataFrame:
     """Per file: number of lines, size in characters, and its first lines.
 
-    Takes `(file_path, line_no, raw)`; one pass, at most ten lines kept per file.
+    Takes `(file_path, line_no, raw)`; one pass, at most ten lines kept per file. Each line
+    counts with its line end, also a last one without it, as lines do not tell.
     """
     head = F.when(F.col("line_no") <= HEAD_LINES, F.struct("line_no", "raw"))
     in_order = F.array_sort(F.collect_list(head))

@@ -7,7 +7,16 @@ from pyspark.sql import functions as F
 
 from weblens.shared import broadcast_within_limit, cut_lineage
 
-TEXT_GLOB = "*.{log,txt}"
+# How many tasks a scan is cut for at least, whatever the cluster. Spark would take the cores
+# there are just then, and two scans of one text could be split differently.
+SPLITS = "spark.sql.files.minPartitionNum"
+LEAST_SPLITS = "200"
+
+
+def pin_splits(spark: SparkSession) -> None:
+    """Cut files alike from now on, unless the session says how already."""
+    if spark.conf.get(SPLITS, None) is None:
+        spark.conf.set(SPLITS, LEAST_SPLITS)
 
 
 def valid_text(value: Column) -> Column:
@@ -25,13 +34,15 @@ def _clean_lines(reader, path: str | list[str], glob: str | None) -> DataFrame:
 
 
 def scan_log_text(
-    spark: SparkSession, path: str | list[str], glob: str | None = TEXT_GLOB
+    spark: SparkSession, path: str | list[str], glob: str | None = None
 ) -> DataFrame:
-    """Lines of every log file under `path` (file, folder or glob, any file system).
+    """Lines of every file under `path` (file, folder or glob, any file system).
 
+    Whatever their names: rotated, dated and zipped logs count. `glob` picks files by name.
     `(file_path, block_start, row_id, raw)`: the last two order lines within a file, as
     a block is read by one task. Nothing is shuffled.
     """
+    pin_splits(spark)
     return _clean_lines(spark.read, path, glob).select(
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
@@ -99,7 +110,7 @@ def number_lines(scan: DataFrame, index: DataFrame | None = None) -> DataFrame:
 def stream_log_text(
     spark: SparkSession,
     path: str,
-    glob: str | None = TEXT_GLOB,
+    glob: str | None = None,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Lines of log files as they arrive under `path`: `(file_path, raw)`."""

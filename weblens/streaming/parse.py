@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from weblens.plans.parse import parse_logs
-from weblens.sources.text import TEXT_GLOB, stream_log_text
+from weblens.sources.text import stream_log_text
 
 REFRESH = {"processingTime": "5 seconds"}
 
@@ -18,7 +18,7 @@ def stream_parse(
     checkpoint: str,
     format: str,
     trigger: dict | None = None,
-    glob: str | None = TEXT_GLOB,
+    glob: str | None = None,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Start parsing new files under `source` into a Parquet table at `target`.

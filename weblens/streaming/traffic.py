@@ -32,15 +32,15 @@ def stream_minute_traffic(
 ) -> StreamingQuery:
     """Start keeping the last minutes of traffic of a parsed stream in a table at `target`.
 
-    Counts are kept per clock value with a watermark of the same length, so state holds
-    the last minutes only. A row too late for the watermark is older than the view and
-    could not be in it. Every batch writes the view as it then is: the one before, with
-    the batch's counts, cut to the last minutes.
+    Counts are kept per clock value with a watermark one second longer, as a row right on
+    the watermark counts as too late but one on the view's edge is part of it. Every batch
+    writes what changed, which runs the state once, and then the view as it then is: the one
+    before, with the batch's counts, cut to the last minutes.
     """
     counts = (
         logs.where(F.col("ts").isNotNull())
         .select(F.col("ts").cast("timestamp").alias("ts_event"))
-        .withWatermark("ts_event", f"{int(minutes)} minutes")
+        .withWatermark("ts_event", f"{60 * int(minutes) + 1} seconds")
         .groupBy("ts_event")
         .agg(F.count("*").alias("requests"))
     )
@@ -48,7 +48,9 @@ def stream_minute_traffic(
     def refresh(changed: DataFrame, batch_id: int) -> None:
         spark = changed.sparkSession
         before = read_batch(spark, target, (batch_id - 1) % RING, VIEW_SCHEMA)
-        view = changed
+        changes = f"{target}_changes"
+        write_batch(changed, changes, batch_id % RING)
+        view = changed = read_batch(spark, changes, batch_id % RING, changed.schema)
         if before is not None:
             last = before.where(F.col("view_id") == batch_id - 1).drop("view_id")
             view = changed.unionByName(last)
@@ -58,7 +60,7 @@ def stream_minute_traffic(
         view = view.where(F.col("ts_event") >= edge).select(
             F.lit(batch_id).cast("bigint").alias("view_id"), "ts_event", "requests"
         )
-        write_batch(view.coalesce(1), target, batch_id % RING)
+        write_batch(view, target, batch_id % RING)
 
     return (
         counts.writeStream.outputMode("update")
