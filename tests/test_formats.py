@@ -237,6 +237,15 @@ def test_carriage_return_is_part_of_the_line(lines):
         ("[Nov 23, 2025 08:15:23]", NOON, "INFO"),
         ("[11/23/2025 08:15:23]", NOON, "INFO"),
         ("[2025/11/23 08:15:23]", NOON, "INFO"),
+        ("[2025-11-23T08:15:23,123]", datetime(2025, 11, 23, 8, 15, 23, 123000), "INFO"),
+        ("[2025-11-23 08:15:23,5] x", NOON, "INFO"),  # the plain form decides
+        ("[11/23/2025 08:15]", datetime(2025, 11, 23, 8, 15), "INFO"),
+        ("[23/11/2025 08:15:23]", NOON, "INFO"),
+        ("[5/6/2025]", datetime(2025, 5, 6), "INFO"),
+        ("[13/13/2025]", None, "INFO"),
+        ("[2025/11/23]", datetime(2025, 11, 23), "INFO"),
+        ("[Nov 23, 2025]", datetime(2025, 11, 23), "INFO"),
+        ("[23 Nov 2025 08:15]", datetime(2025, 11, 23, 8, 15), "INFO"),
         ("[pid 7] [2025-11-23]", None, "INFO"),  # only the first bracket is looked at
         ("no clock, WARNing", None, "WARNING"),
     ],

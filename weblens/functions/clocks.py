@@ -43,16 +43,22 @@ def iso_clock(at: str) -> str:
 
 
 def bracket_clocks() -> str:
-    """Clocks a bracket in a free-form line may hold, each filling the bracket."""
-    fraction = r"(?:[.]\d{1,6})?"
+    """Clocks a bracket in a free-form line may hold, each filling the bracket.
+
+    Seconds, and after a date the whole time, may be missing. Of two numbers parted by a
+    slash the first is the month unless it is above 12.
+    """
+    fraction = r"(?:[.,]\d{1,6})?"
+    time = rf"\d{{1,2}}:\d{{2}}(?::\d{{2}}{fraction})?"
+    month_day = r"(?:0?[1-9]|1[0-2])"
     forms = (
-        r"(?<yearC>\d{4})-(?<numC>\d{1,2})-(?<dayC>\d{1,2})"
-        rf"(?:[T\s]\s*(?<timeC>\d{{1,2}}:\d{{2}}(?::\d{{2}}{fraction})?))?",
-        rf"(?<yearD>\d{{4}})/(?<numD>\d{{1,2}})/(?<dayD>\d{{1,2}})\s+(?<timeD>{_TIME})",
-        rf"(?<numE>\d{{1,2}})/(?<dayE>\d{{1,2}})/(?<yearE>\d{{4}})\s+(?<timeE>{_TIME})",
+        rf"(?<yearC>\d{{4}})-(?<numC>\d{{1,2}})-(?<dayC>\d{{1,2}})(?:[T\s]\s*(?<timeC>{time}))?",
+        rf"(?<yearD>\d{{4}})/(?<numD>\d{{1,2}})/(?<dayD>\d{{1,2}})(?:\s+(?<timeD>{time}))?",
+        rf"(?<numE>{month_day})/(?<dayE>\d{{1,2}})/(?<yearE>\d{{4}})(?:\s+(?<timeE>{time}))?",
+        rf"(?<dayI>1[3-9]|[23]\d)/(?<numI>{month_day})/(?<yearI>\d{{4}})(?:\s+(?<timeI>{time}))?",
         error_clock("F", fraction),
-        rf"(?:{WEEKDAY},?\s+)?(?<dayG>\d{{1,2}})\s+(?<monthG>{_MONTH})\s+(?<yearG>\d{{4}})\s+(?<timeG>{_TIME})(?:\s+GMT)?",
-        rf"(?<monthH>{_MONTH})\s+(?<dayH>\d{{1,2}}),?\s+(?<yearH>\d{{4}})\s+(?<timeH>{_TIME})",
+        rf"(?:{WEEKDAY},?\s+)?(?<dayG>\d{{1,2}})\s+(?<monthG>{_MONTH})\s+(?<yearG>\d{{4}})(?:\s+(?<timeG>{time})(?:\s+GMT)?)?",
+        rf"(?<monthH>{_MONTH})\s+(?<dayH>\d{{1,2}}),?\s+(?<yearH>\d{{4}})(?:\s+(?<timeH>{time}))?",
     )
     return rf"\s*(?:{'|'.join(forms)})(?:\s*(?<zoneC>{ZONE}))?\s*(?=\])"
 

@@ -94,7 +94,8 @@ _NGINX_LINE = rf"(?<ip>\S+) - - \[{_BRACKET}\] {_REQUEST} (?<status>\d+) (?<size
 # A malformed access line: at least five tokens, parted by blanks or quotes.
 _ENOUGH_TOKENS = rf"(?=(?>[^\s\"]*+(?:\s*\"\s*|\s+)){{{MIN_FALLBACK_TOKENS - 1}}})"
 _FIRST_TOKEN = r"(?=(?<ipB>[^\s\"]*+))"
-# The first bracket anywhere: if it does not end, no later one does. A clock counts only if the bracket holds more than it.
+# The first bracket anywhere: if it does not end, no later one does. A clock counts only if
+# the bracket holds more than it.
 _ZONED = rf"(?=[^\]\n]*[ ]|\S+\s+(?:{ZONE})\])"
 _ANY_BRACKET = (
     rf"(?:(?=[^\[]*+(?<textB>\[(?:{_ZONED}\s*{access_clock('B')}(?=[\s\]])"
@@ -232,7 +233,7 @@ _FREE_LINE = (
     rf"(?:(?=.*?{iso_clock('A')})|(?=.*?{access_clock('B').replace('{1,2}', '{2}')})"
     rf"|(?=[^\[]*+\[(?:{bracket_clocks()})?[^\]]*+\])|).*"
 )
-_FREE_PARTS = (*clock_parts(named="BFGH", numbered="ACDE"), "${zoneC}")
+_FREE_PARTS = (*clock_parts(named="BFGH", numbered="ACDEI"), "${zoneC}")
 
 
 def _generic_fields(raw: Column, part: Column) -> dict[str, Column]:
@@ -240,7 +241,7 @@ def _generic_fields(raw: Column, part: Column) -> dict[str, Column]:
         "parse_status": F.lit(S.MATCHED),
         "error_level": keyword_level(raw),
         "message": raw,
-    } | _clock_fields(part[0], part[1], part[2], part[3])
+    } | _clock_fields(part[0], part[1], F.replace(part[2], F.lit(","), F.lit(".")), part[3])
 
 
 GENERIC = LineFormat(
