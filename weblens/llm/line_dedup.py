@@ -57,8 +57,19 @@ class LineRuns:
                 if i + 1 == len(self.levels):
                     self.levels.append([])
                 self.levels[i + 1].append(self._write(merged))
+                self._forget(self.levels[i])
                 self.levels[i] = []
 
+    def _forget(self, names: list[str]) -> None:
+        """Take tables out of the catalog; their files stay in the shared folder."""
+        for name in names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+    def close(self) -> None:
+        for level in self.levels:
+            self._forget(level)
+        self.levels = []
+
     def _write(self, rows: DataFrame) -> str:
         name = f"line_run_{uuid.uuid4().hex}"
         (
@@ -143,6 +154,7 @@ def dedup_lines(
             lines.join(run, [*same, first], "left_anti").select(KEY, "__at")
         )
         dropped = gone if dropped is None else dropped.unionByName(gone)
+    runs.close()
     places = dropped.groupBy(KEY).agg(F.array_sort(F.collect_set("__at")).alias("__gone"))
 
     rows = docs.withColumn(KEY, row_key(doc_id, text)).join(places, KEY, "left")

@@ -143,10 +143,40 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
+JACCARD_JOIN = r"""
+WITH RECURSIVE cut AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents
+),
+places AS (
+  SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS s
+  FROM cut WHERE len(words) > 0
+),
+shingles AS (SELECT DISTINCT doc_id, array_to_string(words[s:s + 4], ' ') AS shingle FROM places),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+met AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+),
+links AS (
+  SELECT x, y FROM met JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+  WHERE 100 * o >= 80 * (a.n + b.n - o)
+),
+reached(x, y) AS (
+  SELECT x, y FROM links UNION SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x
+),
+firsts AS (SELECT x, min(y) AS first FROM reached GROUP BY x)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(first, d.doc_id)) AS component_id
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN firsts f ON f.x = d.doc_id
+"""
+
 ORACLE = {
     "op2_warc": WARC,
     "op4_decontamination": DECONTAMINATION,
     "op5_top_k": TOP_K,
     "op6_licences": LICENCES,
     "op7_line_dedup": LINE_DEDUP,
+    "op10_jaccard_join": JACCARD_JOIN,
 }
