@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from registry import lines as L  # noqa: E402
 from registry.queries import QUERIES  # noqa: E402
 from weblens import operators as ops  # noqa: E402
-from weblens.plans import parse_logs  # noqa: E402
+from weblens.plans import parse_logs, read_logs  # noqa: E402
 from weblens.session import SETTINGS  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -82,6 +82,9 @@ def main() -> None:
     larger = parse_logs(L.order_lines(spark, SF_DIR), "apache")
     for name, query in LARGER.items():
         seconds[name] = timed(lambda q=query: run(q(larger)))
+    files = L.write_log_files(spark, SF_DIR, "access.log")
+    for name, kind in (("files_top_paths", "apache"), ("files_detected", None)):
+        seconds[name] = timed(lambda k=kind: run(ops.top_paths(read_logs(spark, files, k))))
     result = {
         "metric": "total seconds of the headline queries",
         "value": round(sum(seconds.values()), 3),
