@@ -66,6 +66,17 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[ends[0] : ends[-1]], ends - ends[0]
 
 
+def row_slices(column: pa.Array, most_bytes: int = 4 << 20) -> Iterator[pa.Array]:
+    """A text column in runs of rows of about `most_bytes`; a longer text is a run of its own."""
+    ends = text_bytes(column)[1]
+    low = 0
+    while low < len(column):
+        high = int(np.searchsorted(ends, ends[low] + most_bytes, "right")) - 1
+        high = max(high, low + 1)
+        yield column.slice(low, high - low)
+        low = high
+
+
 class Words:
     """Words of a run of bytes: where they begin and end, and their hashes."""
 

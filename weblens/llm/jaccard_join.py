@@ -35,7 +35,7 @@ from pyspark.sql.pandas.types import from_arrow_schema
 
 from weblens.llm.common import batch_of, share
 from weblens.llm.components import components
-from weblens.llm.hashed_words import mix
+from weblens.llm.hashed_words import mix, row_slices
 from weblens.llm.shingles import common, digest, shingle_sets
 from weblens.shared import broadcast_within_limit, cut_lineage
 
@@ -70,13 +70,14 @@ def to_sets(docs: DataFrame, doc_id: str, text: str, whole: bool) -> DataFrame:
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            ids = batch[0].to_pylist()
-            for i, found in zip(ids, shingle_sets(batch[1]), strict=True):
-                n = len(found)
-                most = n if whole else n - at_least(n) + first_pass(n)
-                rows.append((i, n, *digest(found), found[:most].tobytes()))
-            yield batch_of(rows, SET)
+            ids = iter(batch[0].to_pylist())
+            for part in row_slices(batch[1]):
+                rows = []
+                for found in shingle_sets(part):
+                    n = len(found)
+                    most = n if whole else n - at_least(n) + first_pass(n)
+                    rows.append((next(ids), n, *digest(found), found[:most].tobytes()))
+                yield batch_of(rows, SET)
 
     rows = docs.select(F.col(doc_id).cast("long"), F.col(text))
     return rows.mapInArrow(hashed, from_arrow_schema(SET))

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from weblens.llm.common import share
 from weblens.llm.folds import sample_ids, sampled
-from weblens.llm.hashed_words import BLANK, Words, byte_class, mix, parts, text_bytes
+from weblens.llm.hashed_words import BLANK, Words, byte_class, mix, parts, row_slices, text_bytes
 
 THRESHOLD = 0.7
 # At most so many trusted positives, and as many unlabelled rows, are learnt from.
@@ -127,9 +127,8 @@ class Model:
         return np.tanh(x @ self.inner + self.shift) @ self.outer + self.bias[0]
 
     def scores(self, column: pa.Array) -> np.ndarray:
-        if not len(column):
-            return np.zeros(0)
-        return 1 / (1 + np.exp(-self.logits(text_figures(column))))
+        found = [self.logits(text_figures(part)) for part in row_slices(column)]
+        return 1 / (1 + np.exp(-np.concatenate([np.zeros(0), *found])))
 
 
 def _blank(figures: np.ndarray, prior: float, rng) -> Model:
