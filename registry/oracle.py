@@ -270,6 +270,15 @@ def shares(counts: str) -> str:
     return f"{VIEW} SELECT *, n * 100.0::DOUBLE / (SELECT sum(n) FROM ({counts})) AS share FROM ({counts})"
 
 
+SEARCH_HIT = " OR ".join(
+    rf"regexp_matches(CAST({c} AS VARCHAR), '(?i)purchase/1[0-2]|\b500\b')"
+    for c in (
+        "raw", "error_level", "ts", "status_code", "message", "timestamp_raw", "ip",
+        "method", "path", "protocol", "status_raw", "size_raw",
+    )
+)
+
+
 def alerts(rows: str) -> str:
     return f"""{LOGS}, flagged AS (
       SELECT *, coalesce({IS_ERROR} AND ts > {MARK}, FALSE) AS is_new FROM logs)
@@ -360,15 +369,7 @@ ORACLE: dict[str, str] = {
         SELECT DISTINCT 'status_code', CAST(status_code AS VARCHAR) FROM logs
         WHERE {DATED} AND {IN_LEVELS}""",
     "filter_errors": filtered(IS_ERROR),
-    "search_logs": filtered(
-        " OR ".join(
-            rf"regexp_matches(CAST({c} AS VARCHAR), '(?i)purchase/1[0-2]|\b500\b')"
-            for c in (
-                "raw", "error_level", "ts", "status_code", "message", "timestamp_raw", "ip",
-                "method", "path", "protocol", "status_raw", "size_raw",
-            )
-        )
-    ),
+    "search_logs": filtered(SEARCH_HIT),
     "filter_recent": filtered(RECENT.format("logs")),
     "project_series": f"""
         SELECT row_number() OVER (PARTITION BY file_path ORDER BY line_no) AS entry_number, *
@@ -407,6 +408,7 @@ ORACLE: dict[str, str] = {
     "new_errors": f"""{LOGS} SELECT line_no, ts, error_level, raw FROM logs
         WHERE {IS_ERROR} AND ts > {MARK}""",
     "new_error_rows": alerts("WHERE is_new"),
+    "dashboard_new_errors": alerts(f"WHERE is_new AND ({SEARCH_HIT})"),
     "error_delta": f"""{LOGS}
         SELECT error_count, previous_count, CASE WHEN error_count > previous_count
           THEN error_count - previous_count END AS delta

@@ -14,6 +14,7 @@ from weblens import operators as ops
 from weblens import schema as S
 from weblens import sinks, sources, streaming
 from weblens.plans import (
+    dashboard,
     detect_format,
     parse_access_strict,
     parse_logs,
@@ -195,6 +196,13 @@ def latest_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.latest_errors(logs, 10, high_water(logs)).select(ALERT)
 
 
+def dashboard_new_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The new errors that the dashboard lists under a search."""
+    logs = access_logs(spark, sf_dir)
+    shown = dashboard(logs, search=SEARCH, high_water=high_water(logs))
+    return shown["new_errors"].select(ALERT)
+
+
 def error_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     logs = access_logs(spark, sf_dir)
     before = ops.error_count(ops.filter_date_range(logs, end=END))
@@ -287,6 +295,7 @@ QUERIES: dict[str, Query] = {
     # alerts and streams
     "new_errors": new_errors,
     "new_error_rows": new_error_rows,
+    "dashboard_new_errors": dashboard_new_errors,
     "error_delta": error_delta,
     "stream_parse": stream_parse,
     "stream_minute_traffic": stream_minute_traffic,

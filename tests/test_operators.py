@@ -248,3 +248,13 @@ def test_dashboard(logs):
         assert frame.columns
     dated = dashboard(logs, date(2024, 1, 2), statuses=[404])
     assert numbers(dated["rows"]) == [4, 7]
+
+
+def test_entry_numbers_of_one_large_block(spark, monkeypatch):
+    monkeypatch.setattr("weblens.operators.sequence.CHUNK_LINES", 10)
+    scan = spark.range(95).selectExpr(
+        "'a.gz' AS file_path", "0L AS block_start", "id + 7 AS row_id", "cast(id AS int) AS status_code"
+    )
+    got = ops.status_sequence(scan.repartition(3)).collect()
+    assert sorted((r.entry_number, r.status_code) for r in got) == [(i + 1, i) for i in range(95)]
+    assert ops.status_sequence(scan.limit(0)).count() == 0

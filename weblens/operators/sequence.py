@@ -14,8 +14,8 @@ CHUNK_LINES = 1 << 17
 def number_entries(logs: DataFrame, name: str = "entry_number") -> DataFrame:
     """Number the rows of each file 1, 2, 3, … in file order, after any filter.
 
-    Rows are numbered within bounded stretches of a file (a fixed span of lines, or one
-    block of a scan) and written; the count of each stretch is read from that table and
+    Rows are numbered within bounded stretches of a file (a fixed span of lines, or of
+    rows within a block of a scan) and written; the count of each stretch is read from that table and
     shifts those behind it. So the text is read and parsed once, and a file of any size
     spreads over many tasks.
     """
@@ -23,7 +23,7 @@ def number_entries(logs: DataFrame, name: str = "entry_number") -> DataFrame:
     stretch = (
         F.floor((F.col("line_no") - 1) / CHUNK_LINES)
         if order == list(S.EXACT_ORDER)
-        else F.col("block_start")
+        else F.struct("block_start", F.floor(F.col("row_id") / CHUNK_LINES).alias("run"))
     )
     within = Window.partitionBy("file_path", "_stretch").orderBy(*order[1:])
     rows = logs.withColumn("_stretch", stretch)
