@@ -16,7 +16,8 @@ def components(links: DataFrame) -> DataFrame:
     the count of changed labels comes to the driver.
     """
     edges = links.select("x", "y").where("x <> y")
-    edges = cut_lineage(edges.unionByName(edges.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct())
+    turned = edges.select(F.col("y").alias("x"), F.col("x").alias("y"))
+    edges = cut_lineage(edges.unionByName(turned).distinct())
     labels = edges.groupBy(F.col("x").alias("node")).agg(F.min("y").alias("label"))
     labels = cut_lineage(labels.select("node", F.least("node", "label").alias("label")))
     while True:

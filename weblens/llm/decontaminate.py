@@ -96,7 +96,9 @@ def rarest_words(windows: DataFrame, frequencies: DataFrame) -> DataFrame:
             F.first("item_id").alias("item_id"),
             F.collect_list(
                 F.struct(
-                    "start", F.size("words").alias("size"), F.array_join("words", " ").alias("phrase")
+                    "start",
+                    F.size("words").alias("size"),
+                    F.array_join("words", " ").alias("phrase"),
                 )
             ).alias("windows"),
         )
@@ -172,10 +174,8 @@ def phrase_matches(
     met = moved.join(postings, [KEY, "word", "pos"])
     tried = met.select(KEY, "doc_id", "item_id", "shift", "from", "around", F.inline("windows"))
     at = F.col("shift") + F.col("start")
-    seen = F.array_join(
-        F.slice(F.split("around", " "), F.greatest(at - F.col("from") + 1, F.lit(1)), F.col("size")),
-        " ",
-    )
+    first = F.greatest(at - F.col("from") + 1, F.lit(1))
+    seen = F.array_join(F.slice(F.split("around", " "), first, F.col("size")), " ")
     hit = (at >= F.col("from")) & (seen == F.col("phrase"))
     return tried.where(hit).select(KEY, "doc_id", "item_id", at.alias("at"), "size").distinct()
 
@@ -255,9 +255,10 @@ def contamination(
         F.size(words_of(F.col(text))).cast("long").alias("n_words"),
     )
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
+    enough = (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))
     return (
         rows.join(hit.join(found, KEY), KEY, "left")
         .withColumn("n_hit", n_hit)
         .withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
-        .withColumn("contaminated", (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words")))
+        .withColumn("contaminated", enough)
     )

@@ -230,7 +230,9 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs `(x, y)` whose whole sets link."""
-    sides = {s: sets.select(F.col("node").alias(s), F.col("shingles").alias(f"of_{s}")) for s in "xy"}
+    sides = {
+        s: sets.select(F.col("node").alias(s), F.col("shingles").alias(f"of_{s}")) for s in "xy"
+    }
     joined = pairs.select("x", "y").join(sides["x"], "x").join(sides["y"], "y")
     linked = joined.select("x", "y", "of_x", "of_y").mapInArrow(_links, from_arrow_schema(LINK))
     return cut_lineage(linked)
@@ -276,7 +278,8 @@ def pivot_pairs(sets: DataFrame) -> DataFrame:
     low = cut_lineage(
         sets.select("node", "shingles").mapInArrow(smallest, from_arrow_schema(SMALLEST))
     )
-    firsts = cut_lineage(low.groupBy("k", "low").agg(F.min("node").alias("x"), F.count("*").alias("c")))
+    firsts = low.groupBy("k", "low").agg(F.min("node").alias("x"), F.count("*").alias("c"))
+    firsts = cut_lineage(firsts)
     pairs = low.join(firsts.where("c > 1"), ["k", "low"]).select("x", F.col("node").alias("y"))
     return pairs.where("x <> y").distinct()
 
@@ -394,9 +397,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     kept = rows.join(
         broadcast_within_limit(needed.withColumnRenamed("node", "doc_id")), "doc_id", "left_semi"
     )
+    whole = to_sets(kept, "doc_id", "text", whole=True).where("n > 0")
     whole = cut_lineage(
-        to_sets(kept, "doc_id", "text", whole=True).where("n > 0").dropDuplicates(["doc_id", "a", "b"])
-        .select(F.col("doc_id").alias("node"), "n", "shingles")
+        whole.dropDuplicates(["doc_id", "a", "b"]).select(
+            F.col("doc_id").alias("node"), "n", "shingles"
+        )
     )
     dense_sets = whole.join(broadcast_within_limit(dense), "node", "left_semi")
     more, denser = candidates(meetings(dense_sets), sizes, whole=True)
@@ -412,9 +417,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         densest = cut_lineage(whole.join(broadcast_within_limit(denser), "node", "left_semi"))
         linked = dense_links(densest, linked)
     # Texts of one id are one document, whatever class each is in.
-    classes = of_class.where(first != F.col("doc_id")).select(first.alias("x"), F.col("doc_id").alias("y"))
+    classes = of_class.where(first != F.col("doc_id"))
+    classes = classes.select(first.alias("x"), F.col("doc_id").alias("y"))
     again = live.groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1").select("doc_id")
-    joined = classes.join(broadcast_within_limit(cut_lineage(again)), classes["y"] == F.col("doc_id"), "left_semi")
+    again = broadcast_within_limit(cut_lineage(again.withColumnRenamed("doc_id", "y")))
+    joined = classes.join(again, "y", "left_semi").select("x", "y")
     labels = components(linked.unionByName(joined.distinct()))
 
     of_copies = copied.join(labels, copied["first"] == labels["node"], "left").select(

@@ -114,18 +114,19 @@ def top_k(
     component that is not finite, take no part; rows repeated with one vector count once.
     """
     x_ok = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
-    rows = vectors.where(is_query | F.lit(True)).select(
+    rows = vectors.select(
         F.col(vec_id).cast("long").alias("vec_id"),
         F.col(vector).alias("x"),
         F.coalesce(is_query, F.lit(False)).alias("asks"),
     )
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("x").isNotNull())
     rows = rows.where(F.forall("x", lambda x: F.coalesce(x_ok(x.cast("double")), F.lit(False))))
-    rows = cut_lineage(
-        rows.select("vec_id", "asks", whole_numbers(F.col("x")).alias("x")).dropDuplicates(["vec_id", "x"])
-    )
+    rows = rows.select("vec_id", "asks", whole_numbers(F.col("x")).alias("x"))
+    rows = cut_lineage(rows.dropDuplicates(["vec_id", "x"]))
     size = rows.agg(
-        F.count("*").alias("n"), F.sum(F.col("asks").cast("long")).alias("asks"), F.max(F.size("x")).alias("width")
+        F.count("*").alias("n"),
+        F.sum(F.col("asks").cast("long")).alias("asks"),
+        F.max(F.size("x")).alias("width"),
     ).first()
     blocks = max(1, math.ceil(size["n"] / block))
     groups = max(1, math.ceil((size["asks"] or 0) / group))
@@ -145,7 +146,10 @@ def top_k(
     mixed = F.xxhash64("vec_id")
     all_of = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     held = rows.select(
-        "vec_id", "x", F.pmod(mixed, F.lit(blocks)).cast("int").alias("block"), all_of(groups).alias("part")
+        "vec_id",
+        "x",
+        F.pmod(mixed, F.lit(blocks)).cast("int").alias("block"),
+        all_of(groups).alias("part"),
     )
     asking = rows.where("asks").select(
         F.col("vec_id"), F.col("x"), F.pmod(mixed, F.lit(groups)).cast("int").alias("part"),
@@ -154,5 +158,5 @@ def top_k(
     pairs = asking.groupBy("block", "part").cogroup(held.groupBy("block", "part"))
     best = pairs.applyInArrow(search, from_arrow_schema(BEST))
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = best.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    ranked = best.distinct().withColumn("rank", F.row_number().over(order))
+    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -205,7 +205,8 @@ def deduplicated(pages: DataFrame, page_id: str, url: str, html: str, least: int
     )
     joined = rows.join(broadcast_within_limit(cut_lineage(copies)), ["sha1", "bytes"], "left")
     later = F.col("page_id").isNull() | (F.col("page_id") > F.col("first"))
-    return joined.select("page_id", "url", "payload", F.when(later, F.col("first")).alias("refers_to"))
+    refers_to = F.when(later, F.col("first")).alias("refers_to")
+    return joined.select("page_id", "url", "payload", refers_to)
 
 
 def write_archives(
