@@ -34,13 +34,14 @@ from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as model_pb2
 
 from weblens.llm.common import share
+from weblens.llm.hashed_words import row_slices
 
 MARK = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, BYTE, USER_DEFINED = 1, 2, 6, 4
 # Words after which a worker forgets those it has not met lately (twice as many stay at
 # most, besides a group's own), and pairs whose compatibility it keeps.
-MEMO_WORDS = 300_000
+MEMO_WORDS = 250_000
 MEMO_PAIRS = 1_000_000
 CODED = "__coded"
 # Texts are worked on in groups of at least so many characters.
@@ -309,7 +310,8 @@ def encode_pieces(
 
     @F.arrow_udf("struct<ids:array<int>,text:string>" if both else "array<int>")
     def encode(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for part in parts:
+        # Results leave some rows at a time, so a worker never holds those of a whole batch.
+        for part in chain.from_iterable(map(row_slices, parts)):
             ids, back = ids_and_texts(part.to_pylist())
             coded = pa.concat_arrays(ids or [pa.array([], pa.list_(pa.int32()))])
             if both:
