@@ -1,8 +1,11 @@
 """Recognise licences by their sentences and the order these stand in.
 
-A text is cut into sentences at line ends and after closing signs. A sentence is normalised
-(A-Z in lower case, everything but letters a-z and digits as one space) and looked up among
-known licence sentences, which gives a sentence identifier; other sentences give none. The
+A text is normalised (A-Z in lower case, everything but letters a-z and digits as one space)
+and may be cut at line ends and after closing signs. Known licence sentences are looked for
+between any two such places, so that one may be a line or be wrapped over lines, with comment
+signs before each, and may hold `;` and `:`. None goes on over the end of a sentence (`.!?`) or
+a line without letters and digits. Where two begin the longer one counts, and what it covers
+is not looked at again. Each gives a sentence identifier; other text gives none. The
 identifiers of a text, in order, are matched against rules: a rule is a licence and the
 identifiers that must follow each other without another known sentence between them.
 A rule whose identifiers are part of a longer rule that matches too gives no licence of its own.
@@ -10,13 +13,23 @@ A rule whose identifiers are part of a longer rule that matches too gives no lic
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weblens.llm.common import KEY, lower_ascii, row_key
+from weblens.llm.common import lower_ascii
 
-SENTENCE_END = r"[.!?;:]+[ \t\f\r\n]+|[\r\n]+"
-SIGNS = r"[^a-z0-9]+"
+# Applied in this order to text without A-Z. `H` ends every sentence; at `S` and `L` (a line's
+# end) one may end or go on.
+MARKS = (
+    (r"[.!?][;:]*(?=[ \t\f\r\n])", "H"),
+    (r"[;:](?=[ \t\f\r\n])", "S"),
+    (r"\r\n|[\r\n]", "L"),
+    (r"[^a-z0-9HSL]+", " "),
+    (r" ?([HSL]) ?", "$1"),
+    (r"LS*L", "H"),
+)
 
 # Sentences of public licences and notices, normalised.
 SENTENCES = {
@@ -84,16 +97,24 @@ RULES = {
 }
 
 
-def normalised(sentence: Column) -> Column:
-    return F.btrim(F.regexp_replace(sentence, SIGNS, " "))
+def marked(text: Column) -> Column:
+    """Normalised text with marks where a sentence ends or may end."""
+    for pattern, mark in MARKS:
+        text = F.regexp_replace(text, pattern, mark)
+    return F.concat(F.lit("H"), F.btrim(text), F.lit("H"))
 
 
-def known_sentences(spark: SparkSession, sentences: dict[str, str]) -> DataFrame:
-    rows = [
-        F.struct(F.lit(text).alias("sentence"), F.lit(name).alias("name"))
-        for name, text in sentences.items()
-    ]
-    return spark.range(1).select(F.inline(F.array(*rows)))
+def known_sentences(text: Column, sentences: dict[str, str]) -> Column:
+    """The identifiers of the known sentences in marked text, in order."""
+    names: dict[str, list[str]] = {}
+    for name, sentence in sorted(sentences.items()):
+        names.setdefault(" ".join(re.findall("[a-z0-9]+", sentence)), []).append(name)
+    longest = sorted((k for k in names if k), key=len, reverse=True)
+    any_of = "|".join(k.replace(" ", "[ SL]+") for k in longest)
+    parts = F.regexp_extract_all(text, F.lit(f"(?<=[HSL])(?:{any_of})(?=[HSL])"), F.lit(0))
+    pairs = [(F.lit(k), F.array(*map(F.lit, names[k]))) for k in longest]
+    lookup = F.create_map(*[x for pair in pairs for x in pair])
+    return F.flatten(F.transform(parts, lambda p: lookup[F.regexp_replace(p, "[SL]+", " ")]))
 
 
 def matched_licences(names: Column, rules: dict[str, str]) -> Column:
@@ -121,27 +142,10 @@ def scan_licences(
     `sentences` holds the identifiers of all known sentences in order, `licences` the sorted
     licences of the rules that fit. Both are empty for texts without known sentences, and for
     null and empty texts. Repeated rows each give a row; a null id stays null. `sentences` and
-    `rules` replace the tables above; they are small by nature and reach tasks by broadcast.
+    `rules` replace the tables above; they are small by nature and part of the expressions.
     """
-    known = known_sentences(docs.sparkSession, sentences or SENTENCES)
-    rows = docs.select(
-        row_key(doc_id, text).alias(KEY),
-        F.col(doc_id).alias("doc_id"),
-        lower_ascii(F.coalesce(F.col(text), F.lit(""))).alias("text"),
-    )
-    places = rows.select(KEY, F.posexplode(F.split("text", SENTENCE_END)).alias("no", "part"))
-    named = places.select(KEY, "no", normalised(F.col("part")).alias("sentence")).join(
-        F.broadcast(known), "sentence"
-    )
-    # Repeated rows have one key and the same places.
-    each = named.select(KEY, "no", "name").distinct()
-    found = each.groupBy(KEY).agg(
-        F.array_sort(F.collect_list(F.struct("no", "name")))["name"].alias("sentences")
-    )
-    found = found.withColumn("licences", matched_licences(F.col("sentences"), rules or RULES))
-    none = F.array().cast("array<string>")
-    return rows.join(found, KEY, "left").select(
-        "doc_id",
-        F.coalesce("sentences", none).alias("sentences"),
-        F.coalesce("licences", none).alias("licences"),
-    )
+    content = lower_ascii(F.coalesce(F.col(text), F.lit("")))
+    names = known_sentences(marked(content), sentences or SENTENCES).alias("sentences")
+    # A generator, so that no filter is pushed down with copies of the search in it.
+    found = docs.select(F.col(doc_id).alias("doc_id"), F.inline(F.array(F.struct(names))))
+    return found.withColumn("licences", matched_licences(F.col("sentences"), rules or RULES))
