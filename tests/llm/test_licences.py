@@ -128,3 +128,15 @@ def test_sentences_end_at_stops_and_blank_lines(spark):
     ]
     want = [["MIT"], ["MIT"], [], [], [], [], ["APACHE2-THE"]]
     assert [s for s, _ in found_in(spark, texts)] == want
+
+
+def test_a_shorter_rule_counts_outside_longer_ones(spark):
+    texts = [f"{BSD_2}\n\n{BSD_3}", f"{BSD_3}\n\n{BSD_2}", f"{BSD_3}\n\n{BSD_3}"]
+    both = ["BSD-2-Clause", "BSD-3-Clause"]
+    assert [x for _, x in found_in(spark, texts)] == [both, both, ["BSD-3-Clause"]]
+    rows = [(0, "a. b. a"), (1, "b. a. b"), (2, "a. b. a. b. a"), (3, "a. b. a. c. b"), (4, "b. c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = {"A.": "a", "B": "b", "C": "c"}
+    rules = {"A.": "one", "B": "two", "A. B A.": "three", "B C": "four", "C B": "five"}
+    got = scan_licences(docs, sentences=known, rules=rules).orderBy("doc_id").collect()
+    assert [r.licences for r in got] == [["three"], ["one", "two"], ["three"], ["five", "three"], ["four"]]

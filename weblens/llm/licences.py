@@ -8,7 +8,8 @@ a line without letters and digits. Where two begin the longer one counts, and wh
 is not looked at again. Each gives a sentence identifier; other text gives none. The
 identifiers of a text, in order, are matched against rules: a rule is a licence and the
 identifiers that must follow each other without another known sentence between them.
-A rule whose identifiers are part of a longer rule that matches too gives no licence of its own.
+Where identifiers are part of a place that a longer rule matches, a shorter rule that they make
+up gives no licence of its own; elsewhere in the text it does.
 """
 
 from __future__ import annotations
@@ -117,16 +118,30 @@ def known_sentences(text: Column, sentences: dict[str, str]) -> Column:
     return F.flatten(F.transform(parts, lambda p: lookup[F.regexp_replace(p, "[SL]+", " ")]))
 
 
+def _spelt(sequence: str) -> str:
+    """Identifiers with a space before and after each."""
+    return "".join(f" {name} " for name in sequence.split(" "))
+
+
+def _outside_longer(sequence: str, rules: dict[str, str]) -> str:
+    """A pattern for places of a rule that are no part of a place of a longer rule."""
+    own, unless = _spelt(sequence), ""
+    for longer in rules:
+        whole = _spelt(longer)
+        at = whole.find(own) if longer != sequence else -1
+        while at >= 0:
+            unless += f"(?!(?<={re.escape(whole[:at])}){re.escape(whole[at:])})"
+            at = whole.find(own, at + 1)
+    return unless + re.escape(own)
+
+
 def matched_licences(names: Column, rules: dict[str, str]) -> Column:
     """The licences, sorted, of the rules that a text's identifiers fit."""
-    within = F.concat(F.lit(" "), F.array_join(names, " "), F.lit(" "))
-    found = []
-    for sequence, licence in rules.items():
-        fits = F.contains(within, F.lit(f" {sequence} "))
-        for longer in rules:
-            if longer != sequence and f" {sequence} " in f" {longer} ":
-                fits = fits & ~F.contains(within, F.lit(f" {longer} "))
-        found.append(F.when(fits, F.lit(licence)))
+    spelt = F.array_join(F.transform(names, lambda n: F.concat(F.lit(" "), n, F.lit(" "))), "")
+    found = [
+        F.when(F.regexp_like(spelt, F.lit(_outside_longer(sequence, rules))), F.lit(licence))
+        for sequence, licence in rules.items()
+    ]
     return F.array_sort(F.array_distinct(F.array_compact(F.array(*found))))
 
 
