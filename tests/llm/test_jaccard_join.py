@@ -91,3 +91,22 @@ def test_components_of_chains_and_stars(spark):
     got = components(spark.createDataFrame(links, "x long, y long"))
     want = {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)}
     assert {r.node: r.label for r in got.collect()} == want
+
+
+@pytest.mark.parametrize("most,block", [(2, 16), (32, 4096)])
+def test_near_copies_of_any_text_of_an_id(spark, monkeypatch, most, block):
+    monkeypatch.setattr(join, "LIST_MOST", most)
+    monkeypatch.setattr(join, "BLOCK", block)
+    word = lambda kind, n: [f"{kind}{k}" for k in range(n)]
+    small, large, other = word("s", 14), word("l", 1004), word("o", 40)
+    texts = [
+        (5, small), (5, large), (6, small + ["more"]), (7, large + ["more"]),
+        (3, other), (8, other), (8, word("p", 30)), (9, word("p", 30) + ["more"]),
+        (-4, word("q", 50)), (11, word("q", 50) + ["more"]), (-4, word("r", 20)), (10, word("r", 20)),
+        (12, word("t", 25)), (12, word("t", 25)), (13, word("t", 25) + ["more"]), (14, word("u", 9)),
+    ]
+    rows = [(i, " ".join(t)) for i, t in texts]
+    got = join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(str(tuple(r)) for r in got) == brute(rows)
+    group = {r.doc_id: r.component_id for r in got}
+    assert group == {5: 5, 6: 5, 7: 5, 3: 3, 8: 3, 9: 3, -4: -4, 11: -4, 10: -4, 12: 12, 13: 12, 14: 14}

@@ -1,6 +1,7 @@
 """Link texts whose shingle sets have a Jaccard similarity of at least 0.8, exactly.
 
-Equal sets are one class; only a class's first document takes part in what follows.
+Equal sets are one class; only a class's first document takes part in what follows. Each set
+is a node, named by its document's id, or by a number of its own where an id has several.
 
 A linked pair shares at least t of the values that both sets hold among their smallest ones
 (all values for t the whole overlap that 0.8 asks for). So linked sets occur together in at
@@ -24,6 +25,7 @@ document, then only pairs that are not connected by then.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -366,6 +368,32 @@ def dense_links(sets: DataFrame, linked: DataFrame) -> DataFrame:
 # --- the join
 
 
+def sets_of_many(live: DataFrame, of_class: DataFrame) -> DataFrame:
+    """`(doc_id, a, b, n, first, node)`: the sets of ids that have several.
+
+    `first` is the first id of a set's class. The node, a number that is no id, is null where
+    another id is the first.
+    """
+    key = ("n", "a", "b")
+    ends = [f(c).alias(f"{at}_{c}") for c in key for at, f in (("low", F.min), ("high", F.max))]
+    several = " OR ".join(f"low_{c} <> high_{c}" for c in key)
+    ids = cut_lineage(live.groupBy("doc_id").agg(*ends).where(several).select("doc_id"))
+    first = F.coalesce("first", "doc_id").alias("first")
+    sets = of_class.join(broadcast_within_limit(ids), "doc_id", "left_semi")
+    sets = cut_lineage(sets.select("doc_id", "a", "b", "n", first).distinct())
+    for k in itertools.count():
+        number = F.xxhash64(F.lit(k), "doc_id", "a", "b", "n")
+        many = sets.withColumn("node", F.when(F.col("first") == F.col("doc_id"), number))
+        nodes = many.select("node").dropna()
+        if nodes.isEmpty():
+            return many
+        taken = live.select(F.col("doc_id").alias("node")).join(
+            broadcast_within_limit(cut_lineage(nodes)), "node", "left_semi"
+        )
+        if taken.isEmpty() and nodes.groupBy("node").count().where("count > 1").isEmpty():
+            return many
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """`(doc_id, n_shingles, component_id)` for every row of `docs`.
 
@@ -384,9 +412,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     copied = cut_lineage(shared.where("c > 1").select("a", "b", "n", "first"))
     of_class = live.join(broadcast_within_limit(copied), ["a", "b", "n"], "left")
     first = F.coalesce("first", "doc_id")
-    nodes = of_class.where(F.col("doc_id") == first).select(
-        F.col("doc_id").alias("node"), "n", "a", "b", "shingles"
+    many = cut_lineage(sets_of_many(live, of_class))
+    named = broadcast_within_limit(
+        cut_lineage(many.select("doc_id", "a", "b", "n", "node", F.lit(True).alias("own")))
     )
+    node = F.when(F.col("own"), F.col("node")).otherwise(F.col("doc_id")).alias("node")
+    nodes = of_class.where(F.col("doc_id") == first).join(named, ["doc_id", "a", "b", "n"], "left")
+    nodes = nodes.select(node, "n", "a", "b", "shingles")
     sizes = nodes.groupBy("node").agg(F.max("n").alias("n"))
     sizes = cut_lineage(sizes)
 
@@ -394,15 +426,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     pairs, dense = cut_lineage(pairs), cut_lineage(dense)
     ends = pairs.select(F.explode(F.array("x", "y")).alias("node"))
     needed = cut_lineage(ends.unionByName(dense).distinct())
-    kept = rows.join(
-        broadcast_within_limit(needed.withColumnRenamed("node", "doc_id")), "doc_id", "left_semi"
-    )
+    numbers = many.where("node IS NOT NULL").select("node", F.col("doc_id").alias("of_id"))
+    numbers = broadcast_within_limit(cut_lineage(numbers))
+    ids = needed.join(numbers, "node", "left").select(F.coalesce("of_id", "node").alias("doc_id"))
+    kept = rows.join(broadcast_within_limit(cut_lineage(ids.distinct())), "doc_id", "left_semi")
     whole = to_sets(kept, "doc_id", "text", whole=True).where("n > 0")
-    whole = cut_lineage(
-        whole.dropDuplicates(["doc_id", "a", "b"]).select(
-            F.col("doc_id").alias("node"), "n", "shingles"
-        )
-    )
+    whole = whole.dropDuplicates(["doc_id", "a", "b"]).join(named, ["doc_id", "a", "b", "n"], "left")
+    whole = cut_lineage(whole.select(node, "n", "shingles").where("node IS NOT NULL"))
     dense_sets = whole.join(broadcast_within_limit(dense), "node", "left_semi")
     more, denser = candidates(meetings(dense_sets), sizes, whole=True)
     pairs = cut_lineage(pairs.unionByName(more))
@@ -417,12 +447,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         densest = cut_lineage(whole.join(broadcast_within_limit(denser), "node", "left_semi"))
         linked = dense_links(densest, linked)
     # Texts of one id are one document, whatever class each is in.
-    classes = of_class.where(first != F.col("doc_id"))
-    classes = classes.select(first.alias("x"), F.col("doc_id").alias("y"))
-    again = live.groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1").select("doc_id")
-    again = broadcast_within_limit(cut_lineage(again.withColumnRenamed("doc_id", "y")))
-    joined = classes.join(again, "y", "left_semi").select("x", "y")
-    labels = components(linked.unionByName(joined.distinct()))
+    for side in "xy":
+        of_side = numbers.withColumnRenamed("node", side)
+        linked = linked.join(of_side, side, "left").withColumn(side, F.coalesce("of_id", side))
+        linked = linked.drop("of_id")
+    joined = many.where("first <> doc_id").select(F.col("first").alias("x"), F.col("doc_id").alias("y"))
+    linked = linked.select("x", "y").unionByName(joined.distinct()).where("x <> y")
+    labels = components(cut_lineage(linked))
 
     of_copies = copied.join(labels, copied["first"] == labels["node"], "left").select(
         "a", "b", "n", F.coalesce("label", "first").alias("of_class")
