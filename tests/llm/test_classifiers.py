@@ -81,3 +81,14 @@ def test_filters_meet_the_same_words_in_any_slice(monkeypatch):
     monkeypatch.setattr(toxicity, "SLICE", 7)
     assert np.allclose(whole, model.scores(pa.array(texts)), atol=1e-6)
     assert (whole[[0, 3]] > 0.3).all() and (whole[[1, 2, 4]] < 0.3).all()
+
+
+def test_near_copies_are_alike_and_of_one_label():
+    def rows(*texts):
+        return [np.array(t, np.int32).reshape(-1, 1) for t in texts]
+
+    # All share their three smallest words.
+    base = [1, 2, 3, *range(100, 140)]
+    unlike, near, part = [1, 2, 3, *range(200, 240)], [*base, 300, 301], base[:20]
+    texts = rows(base, unlike, near, part, base, unlike, [], [])
+    assert toxicity._different(texts, np.array([1, 1, 1, 1, 0, 1, 0, 1])) == [0, 1, 3, 4, 6, 7]
