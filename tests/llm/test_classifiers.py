@@ -92,3 +92,18 @@ def test_near_copies_are_alike_and_of_one_label():
     unlike, near, part = [1, 2, 3, *range(200, 240)], [*base, 300, 301], base[:20]
     texts = rows(base, unlike, near, part, base, unlike, [], [])
     assert toxicity._different(texts, np.array([1, 1, 1, 1, 0, 1, 0, 1])) == [0, 1, 3, 4, 6, 7]
+
+
+def test_quality_learns_where_every_row_is_labelled(spark):
+    rng = np.random.default_rng(3)
+    words = [f"w{k}ord" for k in range(300)]
+    rows = []
+    for i in range(600):
+        good = " ".join(rng.choice(words, 40)) + "."
+        rows.append((i, good if i % 2 else "!! $$ 12 " * 30, i % 2))
+    table = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    for label in ("quality", "IF(quality = 1, 1, NULL) AS quality"):
+        model = quality.train_quality(table, table.selectExpr("doc_id", label))
+        scored = quality.score_quality(table, model).collect()
+        right = [(r.score >= quality.THRESHOLD) == (r.quality == 1) for r in scored]
+        assert np.mean(right) > 0.95

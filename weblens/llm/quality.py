@@ -124,7 +124,9 @@ class Model:
 
     def logits(self, figures: np.ndarray) -> np.ndarray:
         x = np.clip((figures - self.mean) / self.scale, -8, 8)
-        return np.tanh(x @ self.inner + self.shift) @ self.outer + self.bias[0]
+        # Matrix products round a row by its place among others; these sums do not.
+        hidden = np.tanh(np.einsum("ij,jk->ik", x, self.inner) + self.shift)
+        return np.einsum("ij,j->i", hidden, self.outer) + self.bias[0]
 
     def scores(self, column: pa.Array) -> np.ndarray:
         found = [self.logits(text_figures(part)) for part in row_slices(column)]
@@ -215,14 +217,13 @@ def train_quality(
 ) -> Model:
     """Learn from bounded samples of positives and of unlabelled rows, none held out.
 
-    An id with several labels is good only if all say so; null labels are none. Without
-    positives or unlabelled rows all scores are about one half.
+    An id with several labels is good only if all say so; null labels are none. Unlabelled rows
+    are drawn from all rows, whether labelled or not, without a look at labels. Without
+    positives all scores are about one half.
     """
     known = labels.where(F.col(label).isNotNull()).groupBy(doc_id).agg(F.min(label).alias("y"))
     good = sample_ids(known.where("y = 1"), doc_id, most_rows)
-    # Any row that has no label; ids only are compared.
-    free = docs.select(doc_id).join(labels.select(doc_id).distinct(), doc_id, "left_anti")
-    unlabelled = sample_ids(free, doc_id, most_rows)
+    unlabelled = sample_ids(docs, doc_id, most_rows)
     figures = []
     for ids in (good, unlabelled):
         rows = sampled(docs, ids, doc_id, text).orderBy("doc_id", "text").limit(most_rows)
