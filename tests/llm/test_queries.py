@@ -16,7 +16,7 @@ def test_sql(spark, name):
 
 def test_one_query_per_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_native_operators_run_no_python(spark):

@@ -172,6 +172,55 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(first, d
 FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN firsts f ON f.x = d.doc_id
 """
 
+DIVERGENCE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row_no, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents
+),
+w AS (SELECT row_no, lang, source, unnest(words) AS term FROM d),
+uses AS (
+  SELECT row_no, lang, source, term, count(*) AS n FROM w GROUP BY row_no, lang, source, term
+),
+kept AS (
+  SELECT lang, term, sum(n) AS total FROM uses GROUP BY lang, term HAVING count(*) >= 30
+),
+langs AS (SELECT lang, count(*) AS v, sum(total) AS size FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM d),
+counts AS (
+  SELECT lang, source, term, sum(u.n) AS n FROM uses u JOIN kept USING (lang, term)
+  GROUP BY lang, source, term
+),
+sizes AS (SELECT lang, source, sum(n) AS size FROM counts GROUP BY lang, source),
+valued AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (coalesce(s.size, 0) + 5 * l.v) AS p,
+    1 + (1000000000::HUGEINT * (k.total + 5)) // (l.size + 5 * l.v) AS q
+  FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang)
+  LEFT JOIN sizes s USING (lang, source) LEFT JOIN counts c USING (lang, source, term)
+),
+apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM valued a JOIN valued b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source
+),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM valued WHERE n > 0 AND p > q
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS place
+  FROM found
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(place AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR place <= 50
+"""
+
 ORACLE = {
     "op2_warc": WARC,
     "op4_decontamination": DECONTAMINATION,
@@ -179,4 +228,5 @@ ORACLE = {
     "op6_licences": LICENCES,
     "op7_line_dedup": LINE_DEDUP,
     "op10_jaccard_join": JACCARD_JOIN,
+    "op13_divergence": DIVERGENCE,
 }

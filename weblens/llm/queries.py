@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from weblens.llm import quality, toxicity
 from weblens.llm.common import read_table
 from weblens.llm.decontaminate import contamination
+from weblens.llm.divergence import source_divergence
 from weblens.llm.folds import held_out
 from weblens.llm.jaccard_join import near_duplicates
 from weblens.llm.licences import scan_licences
@@ -115,6 +116,11 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = source_divergence(read_table(spark, sf_dir, "documents"))
+    return found.select("lang", "source", "part", "item", "value", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_warc": op2_warc,
@@ -126,4 +132,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
     "op10_jaccard_join": op10_jaccard_join,
+    "op13_divergence": op13_divergence,
 }
