@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weblens.llm import quality, toxicity
+from weblens.llm.alignment import align_tokens
 from weblens.llm.common import read_table
 from weblens.llm.decontaminate import contamination
 from weblens.llm.divergence import source_divergence
@@ -25,6 +26,7 @@ from weblens.llm.warc import archive_and_read_back
 __all__ = ["ORACLE", "QUERIES"]
 
 MODEL = "piece_bpe_32k.model"
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,6 +118,12 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = read_model(public_tokenizers.path(TOKENIZER))
+    model = read_model(public_tokenizers.path(MODEL))
+    return align_tokens(read_table(spark, sf_dir, "documents"), tokenizer, model)[0]
+
+
 def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = source_divergence(read_table(spark, sf_dir, "documents"))
     return found.select("lang", "source", "part", "item", "value", "rank")
@@ -132,5 +140,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_alignment": op11_alignment,
     "op13_divergence": op13_divergence,
 }
