@@ -101,7 +101,7 @@ def test_texts_against_whole_encodings():
             assert found is None, text
             continue
         links, groups, n_a, n_b = found
-        assert (n_a, n_b, groups.split(";")) == want[:3], text
+        assert (n_a, n_b, groups.decode().split(";")) == want[:3], text
         pairs = [divmod(p, aligner.b_size) for p in np.frombuffer(links, np.int64).tolist()]
         assert sorted(pairs) == sorted(want[3]), text
 

@@ -34,9 +34,8 @@ import hashlib
 import json
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
-from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -57,7 +56,7 @@ CHUNK_LINKS = 4_000_000
 BITMAP_BYTES = CHUNK_DOCS // 8
 MOST_PLACES = BITMAP_BYTES // 2  # more places than this are smaller as a bitmap
 # What a worker may remember of stretches, and the longest stretch it does.
-MEMO_BYTES = 48 << 20
+MEMO_BYTES = 96 << 20
 MEMO_CHARS = 100
 # Beyond this, counts of pairs meet their postings by a shuffle, a pair's spread over `SALTS`.
 COUNTS_BROADCAST_BYTES = 64 << 20
@@ -101,7 +100,12 @@ class TokenAligner:
                 self.b_bytes.append(bytes([int(piece.piece[3:-1], 16)]))
             else:
                 self.b_bytes.append(piece.piece.replace(MARK, " ").encode())
+        self.a_sizes, self.b_sizes = (np.array(list(map(len, x))) for x in (self.a_bytes, self.b_bytes))
         self.b_size = len(self.b_bytes)
+        numbers = [str(i) + " " for i in range(max(len(self.a_bytes), self.b_size))]
+        self.digits = np.frombuffer("".join(numbers).encode(), np.uint8)
+        self.digits_of = np.array(list(map(len, numbers))) - 1
+        self.digits_at = np.cumsum(self.digits_of + 1) - self.digits_of - 1
         self.cuts = _proves_a(json.loads(tokenizer_json)) and _proves_b(model)
         self.new: dict[str, tuple] = {}
         self.old: dict[str, tuple] = {}
@@ -115,7 +119,7 @@ class TokenAligner:
             return text.split(" ")
         return CUT.split(text)
 
-    def align(self, texts: list[str]) -> list[tuple[bytes, str, int, int] | None]:
+    def align(self, texts: list[str]) -> list[tuple[bytes, bytes, int, int] | None]:
         """Links, groups and token counts of each text; None where it has no tokens."""
         split = [self.stretches(t) if t else [] for t in texts]
         found = self._look_up(set(chain.from_iterable(split)))
@@ -126,10 +130,9 @@ class TokenAligner:
             if not entries or None in entries:
                 out.append(None)
                 continue
-            tokens = sum(map(itemgetter(2), entries))
-            links = b"".join(map(itemgetter(0), entries))
-            groups = ";".join(map(itemgetter(1), entries))
-            out.append((links, groups, tokens >> 40, tokens & ((1 << 40) - 1)))
+            links, groups, tokens = zip(*entries, strict=True)
+            n = sum(tokens)
+            out.append((b"".join(links), b";".join(groups), n >> 40, n & ((1 << 40) - 1)))
         return out
 
     def _look_up(self, stretches: set[str]) -> dict[str, tuple | None]:
@@ -144,10 +147,7 @@ class TokenAligner:
                     continue
                 self._remember(stretch, entry)
             found[stretch] = entry
-        encoded = self.a.encode_batch_fast([" " + s for s in missing], add_special_tokens=False)
-        pieces = self.b.encode(missing, num_threads=1)
-        for stretch, code, b in zip(missing, encoded, pieces, strict=True):
-            entry = self._entry(stretch, code.ids, b)
+        for stretch, entry in zip(missing, self._entries(missing), strict=True):
             found[stretch] = entry
             if entry is not None and len(stretch) <= MEMO_CHARS:
                 self._remember(stretch, entry)
@@ -159,37 +159,72 @@ class TokenAligner:
         if 2 * self.held > MEMO_BYTES:
             self.old, self.new, self.held = self.new, {}, 0
 
-    def _entry(self, stretch: str, a: list[int], b: list[int]) -> tuple | None:
-        whole = b" " + stretch.encode()
-        a_bytes, b_bytes = self.a_bytes, self.b_bytes
-        if b"".join([a_bytes[i] for i in a]) != whole or b"".join([b_bytes[i] for i in b]) != whole:
-            return None
-        size = self.b_size
-        links: list[int] = []
-        groups: list[str] = []
-        i = j = first_a = first_b = 0
-        end_a, end_b = len(a_bytes[a[0]]), len(b_bytes[b[0]])
-        n_a, n_b = len(a), len(b)
-        while True:
-            links.append(a[i] * size + b[j])
-            if end_a < end_b:
-                i += 1
-                end_a += len(a_bytes[a[i]])
-            elif end_b < end_a:
-                j += 1
-                end_b += len(b_bytes[b[j]])
-            else:
-                i += 1
-                j += 1
-                groups.append(
-                    ",".join(map(str, a[first_a:i])) + "|" + ",".join(map(str, b[first_b:j]))
-                )
-                if i == n_a:
-                    break
-                first_a, first_b = i, j
-                end_a += len(a_bytes[a[i]])
-                end_b += len(b_bytes[b[j]])
-        return np.array(links, np.int64).tobytes(), ";".join(groups), (n_a << 40) + n_b
+    def _entries(self, stretches: list[str]) -> list[tuple | None]:
+        """Links, groups and token counts of each stretch; None where bytes got lost."""
+        spaced = [" " + s for s in stretches]
+        a_ids = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
+        b_ids = self.b.encode(stretches, num_threads=1)
+        whole = [s.encode() for s in spaced]
+        if not self._same(self.a_bytes, chain.from_iterable(a_ids), whole) or not self._same(
+            self.b_bytes, chain.from_iterable(b_ids), whole
+        ):  # some stretch is changed: each one by itself
+            good = [
+                self._same(self.a_bytes, a, [w]) and self._same(self.b_bytes, b, [w])
+                for a, b, w in zip(a_ids, b_ids, whole, strict=True)
+            ]
+            a_ids, b_ids, whole = (
+                [x for x, fine in zip(xs, good, strict=True) if fine]
+                for xs in (a_ids, b_ids, whole)
+            )
+            aligned = iter(self._align(a_ids, b_ids, whole))
+            return [next(aligned) if fine else None for fine in good]
+        return self._align(a_ids, b_ids, whole)
+
+    @staticmethod
+    def _same(bytes_of: list[bytes], ids: Iterable[int], whole: list[bytes]) -> bool:
+        return b"".join(map(bytes_of.__getitem__, ids)) == b"".join(whole)
+
+    def _align(self, a_ids: list, b_ids: list, whole: list[bytes]) -> list[tuple]:
+        """All stretches at once, laid end to end: both sides' tokens cut the same bytes.
+
+        Between two neighbouring cuts of either side lies just one token of each: a link.
+        Where both cut, a group ends.
+        """
+        if not whole:
+            return []
+        a, b = (np.fromiter(chain.from_iterable(ids), np.int64) for ids in (a_ids, b_ids))
+        a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        ends = np.cumsum([len(w) for w in whole])
+        cuts = np.union1d(a_ends, b_ends)
+        pairs = a[np.searchsorted(a_ends, cuts)] * self.b_size + b[np.searchsorted(b_ends, cuts)]
+        links, links_to = pairs.tobytes(), np.searchsorted(cuts, ends, "right") * 8
+
+        closes = np.intersect1d(a_ends, b_ends, assume_unique=True)
+        a_group, b_group = np.searchsorted(closes, a_ends), np.searchsorted(closes, b_ends)
+        a_upto, b_upto = (
+            np.cumsum(np.bincount(g, minlength=len(closes))) for g in (a_group, b_group)
+        )
+        ids = np.empty(len(a) + len(b), np.int64)  # by group, A's before B's
+        after = np.full(len(ids), ord(","), np.uint8)
+        ids[np.arange(len(a)) + np.r_[0, b_upto][a_group]] = a
+        ids[np.arange(len(b)) + a_upto[b_group]] = b
+        after[a_upto + np.r_[0, b_upto[:-1]] - 1] = ord("|")
+        after[a_upto + b_upto - 1] = ord(";")
+        sizes = self.digits_of[ids] + 1
+        to = np.cumsum(sizes)
+        at = np.repeat(self.digits_at[ids] - (to - sizes), sizes) + np.arange(to[-1])
+        text = self.digits[at]
+        text[to - 1] = after
+        groups = text.tobytes()
+        last = np.searchsorted(closes, ends, "right") - 1
+        groups_to = to[a_upto[last] + b_upto[last] - 1]
+        tokens = (a_upto[last] << 40) + b_upto[last]
+        tokens[1:] -= tokens[:-1].copy()
+        out, low, begin = [], 0, 0
+        for high, end, n in zip(links_to.tolist(), groups_to.tolist(), tokens.tolist(), strict=True):
+            out.append((links[low:high], groups[begin : end - 1], n))
+            low, begin = high, end
+        return out
 
 
 def _proves_a(spec: dict) -> bool:
@@ -321,8 +356,8 @@ class _Indexer:
         pairs = np.frombuffer(links, np.int64)
         self.links.append(pairs << SLOT_BITS | len(self.rows))
         self.n_links += len(pairs)
-        digest = hashlib.sha256(groups.encode()).hexdigest()
-        self.rows.append((n_a, n_b, groups.count(";") + 1, len(pairs), digest))
+        digest = hashlib.sha256(groups).hexdigest()
+        self.rows.append((n_a, n_b, groups.count(b";") + 1, len(pairs), digest))
 
     def _flush(self) -> Iterator[pa.RecordBatch]:
         names = ("n_a", "n_b", "n_groups", "n_links", "groups_sha256")
