@@ -1,0 +1,179 @@
+"""Personal data against the plain expressions, and telling words against plain counts."""
+
+import math
+import random
+import re
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from weblens.llm import disclosure
+from weblens.llm.disclosure import base_spans, find_private, replace_spans, sanitise
+
+PLAIN = {
+    "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+    "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
+    "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
+}
+WORD = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def fits(kind, value):
+    digits = re.sub(r"\D", "", value)
+    if kind == "ip":
+        return all(float(p) <= 255 for p in value.split("."))
+    if kind == "card":
+        total = 0
+        for i, d in enumerate(reversed(digits)):
+            n = int(d) * (1 + i % 2)
+            total += n - 9 if n > 9 else n
+        return 13 <= len(digits) <= 19 and total % 10 == 0
+    return kind == "email" or 9 <= len(digits) <= 15
+
+
+def plain_spans(text):
+    return [(k, *m.span()) for k, form in PLAIN.items() for m in form.finditer(text) if fits(k, m[0])]
+
+
+def beside(text, spans, start, end):
+    covered = {i for _, s, e in spans for i in range(s, e)}
+    bare = "".join("0" if i in covered else c for i, c in enumerate(text))
+    before = list(WORD.finditer(bare[:start]))[-8:]
+    return [(m[0].translate(LOWER), *m.span()) for m in before] + [
+        (m[0].translate(LOWER), end + m.start(), end + m.end()) for m in list(WORD.finditer(bare[end:]))[:8]
+    ]
+
+
+def brute(rows):
+    docs = [(i, text or "", plain_spans(text or "")) for i, text in rows]
+    n_word, n_entity, n_both = (defaultdict(int) for _ in range(3))
+    contexts = defaultdict(set)
+    found = []
+    for _, text, spans in docs:
+        for word in set(WORD.findall(text.translate(LOWER))):
+            n_word[word] += 1
+        near = []
+        for kind, s, e in spans:
+            value = text[s:e]
+            value = re.sub(r"\D", "", value) if kind in ("card", "phone") else value.translate(LOWER)
+            words = beside(text, spans, s, e)
+            for word in words:
+                near.append(((kind, value), *word))
+                contexts[(kind, value), word[0]].add(tuple(w for w, _, _ in words))
+        found.append(near)
+        mentioned = {(k, re.sub(r"\D", "", text[s:e]) if k in ("card", "phone") else text[s:e].translate(LOWER)) for k, s, e in spans}
+        for entity in mentioned:
+            n_entity[entity] += 1
+        for pair in {(entity, word) for entity, word, _, _ in near}:
+            n_both[pair] += 1
+    out = []
+    for (i, _, spans), near in zip(docs, found, strict=True):
+        added = {}
+        for entity, word, s, e in near:
+            if len(contexts[entity, word]) < 3:
+                continue
+            ic = math.log2(len(docs) / n_entity[entity])
+            pmi = math.log2(len(docs) * n_both[entity, word] / (n_word[word] * n_entity[entity]))
+            if pmi > 0 and pmi >= 0.8 * ic:
+                kind = "remove" if pmi >= 0.9 * ic else "generalise"
+                added[s, e] = max(kind, added.get((s, e), ""))
+        words = sorted((k, s, e) for (s, e), k in added.items())
+        count = [sum(k == kind for k, _, _ in spans) for kind in PLAIN]
+        base = [f"{k}:{s}:{e}" for k, s, e in spans]
+        out.append((i, *count, ",".join(base), ",".join(base + [f"{k}:{s}:{e}" for k, s, e in words])))
+    return out
+
+
+def key(row):
+    return tuple((v is not None, v) for v in row)
+
+
+def got(df):
+    return sorted(map(tuple, find_private(df).drop("key").collect()), key=key)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+ODD = [
+    None, "", " ", "@", "a@b", "a@b.c", "@b.c@d.e", "a@b.c@d.e", "a@b@c.d", "x..y@-.-", "é@b.c ü@d.ef.",
+    "1.2.3.4", "1.2.3.4.5.6.7.8", "256.1.1.1", "0000000255.1.1.1", "9" * 300 + ".1.1.1", "1.2.3", "12.3.4.5.",
+    "4111 1111 1111 1111", "4111-1111-1111-1112", "4111  1111 1111 1111", "0" * 13, "0" * 19, "0" * 20,
+    "+1 (017) 555-7713", "+1 22", "+1234567890123456", "++1 (2) 345.678-90", "+49 30 1234 5678 4111 1111 1111 1111",
+    "a" * 40_000, "1" * 40_000, "1." * 20_000, "a@" * 10_000, "+1 " * 9_000, "word " * 20_000 + "x@y.zz end",
+]
+
+
+def test_forms_against_the_plain_expressions():
+    rng = random.Random(4)
+    signs = ["a", "Z9", "@", ".", "-", " ", "+", "1", "23", "255", "(", ")", "%", "é", "4111 1111 1111 1111", "\n", "0"]
+    texts = ["".join(rng.choices(signs, k=rng.randrange(1, 30))) for _ in range(4000)]
+    short = [t for t in ODD if t and len(t) < 1000]
+    for text in texts + short:
+        assert base_spans(text) == plain_spans(text), text
+    for text in (t for t in ODD if t and len(t) >= 1000):  # soon done, however long the runs
+        base_spans(text)
+
+
+@pytest.fixture(scope="module")
+def some_rows():
+    rng = random.Random(8)
+    words = [f"{a}{b}" for a in ("ka", "Lo", "mü", "ne") for b in ("ra", "to", "si", "ße", "pu")]
+    people = [("ann.b@mail.org", "Annabel"), ("+1 (017) 555-7713", "Zoë"), ("10.1.2.3", "Gateway")]
+    rows = []
+    for i in range(400):
+        text = rng.choices(words, k=rng.randrange(1, 60))
+        if i % 5 == 0:
+            value, name = rng.choice(people)
+            at = rng.randrange(len(text) + 1)
+            text[at:at] = [name, rng.choice(["at", "under"]), value + rng.choice([".", "", ","])]
+        rows.append((i, " ".join(text)))
+    copies = [(500 + i, "Unique words beside lone.one@mail.org here") for i in range(50)]
+    return rows + copies + [(900 + i, t) for i, t in enumerate(ODD)] + [(None, "Zoë"), (7, "Zoë"), (7, "Zoë")]
+
+
+def test_against_brute_force(spark, some_rows):
+    short = [r for r in some_rows if len(r[1] or "") < 6_000]
+    want = brute(short)
+    assert got(frame(spark, short)) == sorted(want, key=key)
+    kinds = {part.split(":")[0] for row in want for part in row[6].split(",")}
+    assert kinds >= {"email", "ip", "card", "phone", "remove"}
+
+
+def test_only_words_that_give_away(spark, some_rows):
+    docs = frame(spark, some_rows)
+    clean = {r.doc_id: r.clean for r in sanitise(docs).collect()}
+    texts = dict(some_rows)
+    assert not any("ann.b@" in (t or "") for t in clean.values())
+    assert not any("Annabel" in (clean[i] or "") for i in range(400))
+    assert clean[500] == "Unique words beside [EMAIL] here"  # copies of one meeting tell nothing
+    untouched = [i for i, t in some_rows if t and not plain_spans(t) and len(t) < 1000]
+    assert all(clean[i] == texts[i] for i in untouched)
+    assert clean[900] is None and clean[901] == ""
+
+
+def test_long_texts_empty_tables_and_other_columns(spark, some_rows):
+    odd = [(900 + i, t) for i, t in enumerate(ODD)]
+    found = {r[0]: r[6] for r in got(frame(spark, odd))}
+    assert found[900 + ODD.index("word " * 20_000 + "x@y.zz end")] == "email:100000:100006"
+    docs = frame(spark, some_rows[:50]).selectExpr("*", "1 AS key", "'k' AS spans", "2 AS `a.b`", "'w' AS word")
+    out = sanitise(docs)
+    assert out.columns == [*docs.columns, "clean"] and out.where("key = 1 AND spans = 'k'").count() == 50
+    assert find_private(docs.limit(0)).count() == sanitise(docs.limit(0)).count() == 0
+
+
+def test_overlapping_spans():
+    text = "+49 30 1234 5678 4111 1111 1111 1111 end"
+    assert replace_spans("call Ann 10.1.2.3", "ip:9:17,remove:5:8") == "call  [IP]"
+    assert replace_spans(text, "card:4:36,phone:0:16") == "[PHONE] end"
+    assert replace_spans("a b", "generalise:0:1") == "[WORD] b"
+
+
+def test_one_entity_in_a_third_of_all_rows(spark):
+    rows = [(i, f"w{'abcdefgh'[i % 8]} {'xyz'[i % 3]}k hot@mail.org Owner" if i % 3 == 0 else "w a b") for i in range(900)]
+    assert got(frame(spark, rows)) == sorted(brute(rows), key=key)
+    assert find_private(frame(spark, rows)).where(F.col("spans").contains("remove")).count() == 300

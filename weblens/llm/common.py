@@ -22,6 +22,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, or one like it that `df` has no column of, whatever the case of its letters."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def row_key(*columns: str) -> Column:
     """128 bits that tell rows apart by the values of `columns`, nulls included."""
     parts = [p for c in columns for p in (F.col(c).isNull(), F.col(c))]

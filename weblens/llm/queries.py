@@ -12,6 +12,7 @@ from weblens.llm import quality, toxicity
 from weblens.llm.alignment import align_tokens
 from weblens.llm.common import read_table
 from weblens.llm.decontaminate import contamination
+from weblens.llm.disclosure import find_private
 from weblens.llm.divergence import source_divergence
 from weblens.llm.folds import held_out
 from weblens.llm.jaccard_join import near_duplicates
@@ -124,6 +125,12 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_tokens(read_table(spark, sf_dir, "documents"), tokenizer, model)[0]
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_private(read_table(spark, sf_dir, "documents"))
+    counts = ("n_email", "n_ip", "n_card", "n_phone")
+    return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = source_divergence(read_table(spark, sf_dir, "documents"))
     return found.select("lang", "source", "part", "item", "value", "rank")
@@ -141,5 +148,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_jaccard_join": op10_jaccard_join,
     "op11_alignment": op11_alignment,
+    "op12_pii": op12_pii,
     "op13_divergence": op13_divergence,
 }
