@@ -299,6 +299,12 @@ SELECT file_path || '/' || ((line_no - 1) // {PER_FILE}) AS source,
   (line_no - 1) % {PER_FILE} + 1 AS line_no, raw
 FROM ({LOG_LINES})"""
 
+# The same rules over the lines of written files.
+FILE_LINES = f"SELECT source AS file_path, line_no, raw FROM ({WRITTEN})"
+FILE_FORMATS = DETECTED.replace(ALL_LINES, FILE_LINES)
+FILE_ROWS = f"""SELECT file_path AS source, {NAMES.replace("file_path, line_no, ", "")}
+FROM ({PARSED.replace(ALL_LINES, FILE_LINES)})"""
+
 RECENT = "ts >= (SELECT max(ts) - INTERVAL 1440 MINUTE FROM {0})"
 KPI = {
     "total_requests": "count(*)",
@@ -333,6 +339,10 @@ ORACLE: dict[str, str] = {
     "table_scan_filter": """
         SELECT * FROM customer WHERE c_acctbal < 0 AND c_mktsegment = 'BUILDING'""",
     "detect_format": DETECTED,
+    "detect_heads": f"""
+        WITH found AS (SELECT file_path AS source, format FROM ({FILE_FORMATS}))
+        FROM found UNION ALL FROM found WHERE source LIKE 'app.log/%'""",
+    "read_detected": FILE_ROWS,
     "parse_access": request_rows(ACCESS_LINES, ACCESS_RE, "apache", True),
     "parse_access_fallback": f"""
         WITH t AS MATERIALIZED ({ACCESS_LINES} UNION ALL {PROSE_LINES})
@@ -418,5 +428,6 @@ ORACLE: dict[str, str] = {
               FROM logs)""",
     "stream_parse": f"""
         SELECT {NAMES.replace("file_path, line_no, ", "")} FROM ({access_rows(ACCESS_LINES)})""",
+    "stream_detected": FILE_ROWS,
     "stream_minute_traffic": f"{VIEW} {counted(MINUTE, 'minute', where=RECENT.format('v'))}",
 }

@@ -16,10 +16,12 @@ from weblens import sinks, sources, streaming
 from weblens.plans import (
     dashboard,
     detect_format,
+    detect_heads,
     parse_access_strict,
     parse_logs,
     parse_quality,
     parse_summary,
+    read_detected,
 )
 from weblens.shared import new_shared_path
 from weblens.sources.text import stream_log_text
@@ -126,6 +128,21 @@ def table_scan_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- parsing -----------------------------------------------------------------------
 
 
+def formats_by_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Formats of the written files, plain and zipped, from their first lines."""
+    zipped = L.write_log_files(spark, sf_dir, "app.log", compression="gzip")
+    found = detect_heads(spark, [log_files(spark, sf_dir), zipped])
+    return found.select(L.source_name("file_path").alias("source"), "format")
+
+
+FILE_LINES = [n for n in PARSED if n not in ("file_path", "line_no")]
+
+
+def lines_by_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    logs = read_detected(spark, log_files(spark, sf_dir))
+    return logs.select(L.source_name("file_path").alias("source"), *FILE_LINES)
+
+
 def parse_access(spark: SparkSession, sf_dir: str) -> DataFrame:
     logs = access_logs(spark, sf_dir)
     return logs.where(F.col("parse_status") == S.MATCHED).select(PARSED)
@@ -224,6 +241,17 @@ def stream_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{target}/logs").select(names)
 
 
+def stream_detected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of three formats, some files a batch."""
+    target = new_shared_path(spark, "stream")
+    streaming.stream_detected(
+        spark, log_files(spark, sf_dir), f"{target}/logs", f"{target}/formats",
+        f"{target}/checkpoint", ALL_AVAILABLE, max_files_per_trigger=25,
+    ).awaitTermination()
+    logs = spark.read.parquet(f"{target}/logs")
+    return logs.select(L.source_name("file_path").alias("source"), *FILE_LINES)
+
+
 def stream_minute_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = f"{log_files(spark, sf_dir)}/source=access.log"
     target = new_shared_path(spark, "stream")
@@ -246,6 +274,8 @@ QUERIES: dict[str, Query] = {
     "table_scan_filter": table_scan_filter,
     # parsing
     "detect_format": lambda s, d: detect_format(all_lines(s, d)),
+    "detect_heads": formats_by_heads,
+    "read_detected": lines_by_heads,
     "parse_access": parse_access,
     "parse_access_fallback": parse_access_fallback,
     "parse_nginx": parse_nginx,
@@ -298,6 +328,7 @@ QUERIES: dict[str, Query] = {
     "dashboard_new_errors": dashboard_new_errors,
     "error_delta": error_delta,
     "stream_parse": stream_parse,
+    "stream_detected": stream_detected,
     "stream_minute_traffic": stream_minute_traffic,
 }
 

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weblens.functions.line_formats import FORMATS, GENERIC, at_line_start
 from weblens.shared import broadcast_within_limit, cut_lineage
+from weblens.sources.heads import SAMPLE_LINES, file_heads
+from weblens.sources.text import index_bounds, line_index, number_lines, scan_log_text
 
-# Fixed value: how many lines of a file decide its format.
-SAMPLE_LINES = 10
+# Files that are named one by one in a plan at most.
+MOST_NAMED = 10_000
 
 
 def text_bounds(lines: DataFrame) -> DataFrame:
@@ -77,3 +79,47 @@ def detect_format(lines: DataFrame, bounds: DataFrame | None = None) -> DataFram
     return counts.join(ends, "file_path").select(
         "file_path", chosen.alias("format"), "first_line", "last_line"
     )
+
+
+def formats_of_heads(heads: DataFrame) -> DataFrame:
+    """`(file_path, format, smooth)` by the rule of `detect_format`, out of files' first lines.
+
+    Takes what `sources.file_heads` returns; files of blanks have no row. Nothing is shuffled.
+    """
+    lines = F.size("head")
+    chosen = F.coalesce(
+        *[
+            F.when(2 * F.size(F.filter("head", _fits(f.pattern))) >= lines, name)
+            for name, f in FORMATS.items()
+            if f.pattern
+        ],
+        F.lit(GENERIC.name),
+    )
+    found = heads.where(F.col("head").isNotNull() & (lines > 0))
+    return found.select("file_path", chosen.alias("format"), "smooth")
+
+
+def detect_heads(
+    spark: SparkSession, path: str | list[str], glob: str | None = None
+) -> DataFrame:
+    """`(file_path, format, smooth)` of the files under `path`, from a few KB of each.
+
+    Files that workers cannot open are told by `detect_format`, which reads them whole.
+    """
+    heads = file_heads(spark, path, glob)
+    found = formats_of_heads(heads)
+    closed = heads.where("head IS NULL").select("file_path").limit(MOST_NAMED + 1).collect()
+    if closed:
+        names = [row.file_path for row in closed]
+        few = len(names) <= MOST_NAMED
+        here = F.col("_metadata.file_path").isin(names) if few else None
+        scan = scan_log_text(spark, path, glob, here)
+        index = line_index(scan)
+        whole = detect_format(number_lines(scan, index), index_bounds(index))
+        whole = whole.join(found, "file_path", "left_anti").select("file_path", "format")
+        found = found.unionByName(whole.withColumn("smooth", F.lit(None).cast("boolean")))
+    return cut_lineage(found)
+
+
+def _fits(pattern: str):
+    return lambda line: line.rlike(at_line_start(pattern))

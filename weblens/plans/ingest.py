@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weblens.plans.detect import detect_format
-from weblens.plans.parse import parse_logs
-from weblens.shared import spread
+from weblens.plans.detect import MOST_NAMED, detect_format, detect_heads
+from weblens.plans.parse import parse_logs, trim_edges
+from weblens.shared import broadcast_within_limit, spread
 from weblens.sources.text import (
     index_bounds,
     line_index,
@@ -42,6 +42,45 @@ def read_logs(
     return parse_logs(lines, formats=detect_format(lines, index_bounds(index)))
 
 
+def read_detected(
+    spark: SparkSession,
+    path: str | list[str],
+    glob: str | None = None,
+    formats: DataFrame | None = None,
+) -> DataFrame:
+    """Parsed lines of all log files under `path`, each in its own format, in scan order.
+
+    The rows are those of `read_logs`, but the text is read once: formats come from the heads
+    of the files, a few KB each. Only files with blanks around their text, zipped ones and
+    those that workers cannot open get a light pass that finds where their text begins and
+    ends. `formats` is what `detect_heads` returned, if that is known.
+    """
+    if formats is None:
+        formats = detect_heads(spark, path, glob)
+    named = formats.select("file_path", "format")
+    rough = formats.where("smooth IS NOT TRUE").select("file_path").limit(MOST_NAMED + 1)
+    names = [row.file_path for row in rough.collect()]
+    if not names:
+        return parse_logs(spread(scan_log_text(spark, path, glob)), formats=named)
+    here = F.col("_metadata.file_path").isin(names)
+    every = len(names) > MOST_NAMED  # too many to name: all files get that pass
+    scan = scan_log_text(spark, path, glob, None if every else here)
+    trimmed = parse_logs(trim_scan(spread(scan), line_index(scan)), formats=named)
+    if every:
+        return trimmed
+    smooth = spread(scan_log_text(spark, path, glob, ~here))
+    return parse_logs(smooth, formats=named).unionByName(trimmed)
+
+
+def trim_scan(scan: DataFrame, index: DataFrame) -> DataFrame:
+    """Cut blanks around each file's text, in place; `index` is `line_index(scan)`."""
+    kept = scan.columns
+    places = broadcast_within_limit(index)
+    line_no = F.col("lines_before") + F.col("row_id") - F.col("first_row") + 1
+    lines = scan.join(places, ["file_path", "block_start"]).withColumn("line_no", line_no)
+    return trim_edges(lines).select(kept)
+
+
 def store_logs(
     logs: DataFrame, path: str, overwrite: bool = False, rebalance: bool = False
 ) -> None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -68,3 +70,22 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    As `spark-submit --py-files` would do; a package that came in an archive is there already.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    if os.path.isdir(package):
+        target = os.path.join(tempfile.mkdtemp(prefix="weblens-"), "weblens")
+        root, name = os.path.split(package)
+        context.addPyFile(shutil.make_archive(target, "zip", root, name))
+    _shipped.add(context.applicationId)

@@ -1,9 +1,11 @@
+from weblens.sources.heads import file_heads
 from weblens.sources.inventory import log_file_inventory
 from weblens.sources.profile import log_profile
 from weblens.sources.tables import table_key_lookup, table_scan_filter
 from weblens.sources.text import index_bounds, line_index, number_lines, scan_log_text
 
 __all__ = [
+    "file_heads",
     "index_bounds",
     "line_index",
     "log_file_inventory",

@@ -34,16 +34,22 @@ def _clean_lines(reader, path: str | list[str], glob: str | None) -> DataFrame:
 
 
 def scan_log_text(
-    spark: SparkSession, path: str | list[str], glob: str | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    glob: str | None = None,
+    keep: Column | None = None,
 ) -> DataFrame:
     """Lines of every file under `path` (file, folder or glob, any file system).
 
     Whatever their names: rotated, dated and zipped logs count. `glob` picks files by name.
     `(file_path, block_start, row_id, raw)`: the last two order lines within a file, as
-    a block is read by one task. Nothing is shuffled.
+    a block is read by one task. Nothing is shuffled. `keep` is a condition on `_metadata`;
+    files that fail it are not opened.
     """
     pin_splits(spark)
-    return _clean_lines(spark.read, path, glob).select(
+    lines = _clean_lines(spark.read, path, glob)
+    lines = lines if keep is None else lines.where(keep)
+    return lines.select(
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("row_id"),

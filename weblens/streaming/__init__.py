@@ -1,4 +1,5 @@
 from weblens.streaming.alerts import error_delta_by_batch, read_alerts, watch_new_errors
+from weblens.streaming.detected import stream_detected, stream_formats
 from weblens.streaming.parse import stream_parse
 from weblens.streaming.traffic import live_minute_traffic, stream_minute_traffic
 
@@ -6,6 +7,8 @@ __all__ = [
     "error_delta_by_batch",
     "live_minute_traffic",
     "read_alerts",
+    "stream_detected",
+    "stream_formats",
     "stream_minute_traffic",
     "stream_parse",
     "watch_new_errors",
