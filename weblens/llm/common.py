@@ -6,14 +6,12 @@ and get one result each, equal to each other's. A null id is a key like any othe
 
 from __future__ import annotations
 
-import os
-import shutil
-import tempfile
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weblens.shared import ship
+
 # Added to what a frame needs while its rows are worked on; an input has no such columns.
 KEY = "__row_key"
 
@@ -56,20 +54,7 @@ def batch_of(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
-_shipped: set[str] = set()
-
-
 def share(spark: SparkSession, value):
-    """`value`, of bounded size, for every Python worker, which can import this package.
-
-    The package is sent once per application, as `spark-submit --py-files` would do.
-    """
-    context = spark.sparkContext
-    if context.applicationId not in _shipped:
-        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-        if os.path.isdir(package):  # else it came in an archive, which workers have
-            target = os.path.join(tempfile.mkdtemp(prefix="weblens-"), "weblens")
-            root, name = os.path.split(package)
-            context.addPyFile(shutil.make_archive(target, "zip", root, name))
-        _shipped.add(context.applicationId)
-    return context.broadcast(value)
+    """`value`, of bounded size, for every Python worker, which can import this package."""
+    ship(spark)
+    return spark.sparkContext.broadcast(value)
