@@ -429,5 +429,18 @@ ORACLE: dict[str, str] = {
     "stream_parse": f"""
         SELECT {NAMES.replace("file_path, line_no, ", "")} FROM ({access_rows(ACCESS_LINES)})""",
     "stream_detected": FILE_ROWS,
+    "search_stored": filtered(SEARCH_HIT),
+    "rollup_hourly_traffic": f"{VIEW} {counted(HOUR, 'hour')}",
+    "rollup_errors_by_hour_level": f"""{VIEW}
+        SELECT {HOUR} AS hour, error_level, count(*) AS n FROM v WHERE {IS_ERROR} GROUP BY 1, 2""",
+    "rollup_status_class_breakdown": f"""{LOGS}, v AS (SELECT * FROM logs)
+        {counted("(status_code // 100) || 'xx'", "status_class")}""",
+    "rollup_kpis": f"""{LOGS}
+        SELECT {", ".join(f"{e} AS {n}" for n, e in KPI.items() if n != "unique_ips")},
+          count(ts) > 0 AS has_timestamps
+        FROM logs""",
+    "rollup_daily_ips": f"""{VIEW}
+        SELECT CAST(ts AS DATE) AS day, count(DISTINCT ip) AS unique_ips, TRUE AS near
+        FROM v GROUP BY 1 HAVING count(DISTINCT ip) > 0""",
     "stream_minute_traffic": f"{VIEW} {counted(MINUTE, 'minute', where=RECENT.format('v'))}",
 }

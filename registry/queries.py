@@ -22,6 +22,7 @@ from weblens.plans import (
     parse_quality,
     parse_summary,
     read_detected,
+    store_logs,
 )
 from weblens.shared import new_shared_path
 from weblens.sources.text import stream_log_text
@@ -186,6 +187,15 @@ def filtered(operator: Callable[..., DataFrame], *args, **kwargs) -> Query:
     return query
 
 
+def search_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The search over logs stored by day, through the index of their trigrams."""
+    place = new_shared_path(spark, "stored")
+    store_logs(access_logs(spark, sf_dir), f"{place}/logs", rebalance=True)
+    ops.build_search_index(spark, f"{place}/logs", f"{place}/index")
+    found = ops.search_stored(spark, f"{place}/logs", f"{place}/index", SEARCH)
+    return found.select("line_no", "ts", "status_code", "error_level", "raw")
+
+
 # --- sequences and alerts ----------------------------------------------------------
 
 
@@ -262,6 +272,37 @@ def stream_minute_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streaming.live_minute_traffic(spark, f"{target}/views")
 
 
+_rolled: dict[tuple, str] = {}
+
+
+def rolled_up(spark: SparkSession, sf_dir: str) -> str:
+    """Rollups of the access log's files, streamed once per session, some files a batch."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _rolled:
+        source = f"{log_files(spark, sf_dir)}/source=access.log"
+        target = new_shared_path(spark, "rollups")
+        logs = parse_logs(stream_log_text(spark, source, max_files_per_trigger=4), "apache")
+        streaming.stream_rollups(
+            logs, f"{target}/kept", f"{target}/checkpoint", ALL_AVAILABLE
+        ).awaitTermination()
+        _rolled[key] = f"{target}/kept"
+    return _rolled[key]
+
+
+def of_rollup(result: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: result(streaming.rollup_counts(spark, rolled_up(spark, sf_dir)))
+
+
+def rollup_daily_ips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact clients a day beside the sketches' estimate: whether it is within 4 percent."""
+    kept = streaming.rollup_daily_ips(spark, rolled_up(spark, sf_dir))
+    exact = view(spark, sf_dir).groupBy(F.to_date("ts").alias("day"))
+    exact = exact.agg(F.count_distinct("ip").alias("exact"))
+    near = F.abs(F.col("unique_ips") - F.col("exact")) <= F.greatest(0.04 * F.col("exact"), F.lit(1))
+    both = exact.where("exact > 0").join(kept, "day", "full_outer")
+    return both.select("day", F.col("exact").alias("unique_ips"), near.alias("near"))
+
+
 QUERIES: dict[str, Query] = {
     # sources and sinks
     "scan_log_text": scan_log_text,
@@ -294,6 +335,7 @@ QUERIES: dict[str, Query] = {
     "facet_values": lambda s, d: ops.facet_values(access_logs(s, d), START, END, LEVELS),
     "filter_errors": filtered(ops.filter_errors),
     "search_logs": filtered(ops.search_logs, SEARCH),
+    "search_stored": search_stored,
     "filter_recent": filtered(ops.filter_recent, RECENT_MINUTES),
     "project_series": project_series,
     # aggregates
@@ -330,6 +372,11 @@ QUERIES: dict[str, Query] = {
     "stream_parse": stream_parse,
     "stream_detected": stream_detected,
     "stream_minute_traffic": stream_minute_traffic,
+    "rollup_hourly_traffic": of_rollup(streaming.rollup_hourly_traffic),
+    "rollup_errors_by_hour_level": of_rollup(streaming.rollup_errors_by_hour_level),
+    "rollup_status_class_breakdown": of_rollup(streaming.rollup_status_class_breakdown),
+    "rollup_kpis": of_rollup(streaming.rollup_kpis),
+    "rollup_daily_ips": rollup_daily_ips,
 }
 
 

@@ -45,9 +45,16 @@ from weblens.operators.ranking import (
     top_status,
     top_values,
 )
+from weblens.operators.search_index import (
+    build_search_index,
+    candidate_files,
+    search_stored,
+)
 from weblens.operators.sequence import number_entries, project_series, status_sequence
 
 __all__ = [
+    "build_search_index",
+    "candidate_files",
     "date_bounds",
     "error_count",
     "error_delta",
@@ -77,6 +84,7 @@ __all__ = [
     "project_series",
     "recent_minute_traffic",
     "search_logs",
+    "search_stored",
     "sort_logs",
     "status_class_breakdown",
     "status_sequence",
