@@ -1,6 +1,7 @@
 """Pieces and token counts against the model's own library."""
 
 import random
+import sys
 
 import pytest
 import sentencepiece
@@ -36,7 +37,7 @@ def test_merging_gives_the_ids_of_the_library():
 
 
 def test_words_are_forgotten_but_not_changed(monkeypatch):
-    monkeypatch.setattr("weblens.llm.pieces.MEMO_WORDS", 20)
+    monkeypatch.setattr("weblens.llm.pieces.MEMO_BYTES", 10_000)
     monkeypatch.setattr("weblens.llm.pieces.MEMO_PAIRS", 5)
     coder = PieceCoder(MODEL)
     sample = texts(200, 30, 2)
@@ -45,6 +46,28 @@ def test_words_are_forgotten_but_not_changed(monkeypatch):
     assert len(coder.pairs) <= 6
 
 
+def unspaced(k):
+    return "".join(chr(0x4E00 + (i * (k + 3)) % 5000) for i in range(3000))
+
+
+@pytest.mark.parametrize("coder", [PieceCoder(MODEL), TokenCounter(MODEL)])
+def test_memory_of_words_is_bounded_in_bytes(monkeypatch, coder):
+    """Texts without spaces, each a word of its own, and many short words."""
+    for module in ("pieces", "token_counts"):
+        monkeypatch.setattr(f"weblens.llm.{module}.MEMO_BYTES", 200_000)
+    for k in range(20):
+        sample = [unspaced(k), " ".join(f"w{i}x{k}" for i in range(400))]
+        if isinstance(coder, PieceCoder):
+            assert coder.encode(sample) == LIBRARY.encode(sample)
+            held = [*coder.words.items(), *coder.older.items()]
+        else:
+            assert coder.count(sample) == [len(ids) for ids in LIBRARY.encode(sample)]
+            held = [(p, b"1234") for p in coder.parts]
+        assert sum(sys.getsizeof(w) + sys.getsizeof(ids) for w, ids in held) <= 200_000
+    coder.forget()
+    assert coder.held == 0
+
+
 def unigram_model():
     """The same pieces with other scores, as a model that Viterbi decides."""
     model = model_pb2.ModelProto.FromString(MODEL)

@@ -18,7 +18,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weblens.llm.common import KEY, lower_ascii, row_key
+from weblens.llm.common import KEY, free_name, lower_ascii, row_key
 from weblens.shared import cut_lineage, new_shared_path
 
 BLANKS = " \t\n\x0b\x0c\r"
@@ -155,24 +155,26 @@ def dedup_lines(
         )
         dropped = gone if dropped is None else dropped.unionByName(gone)
     runs.close()
-    places = dropped.groupBy(KEY).agg(F.array_sort(F.collect_set("__at")).alias("__gone"))
+    key, gone, lines = (free_name(docs, name) for name in ("key", "gone", "lines"))
+    places = dropped.select(F.col(KEY).alias(key), "__at").groupBy(key)
+    places = places.agg(F.array_sort(F.collect_set("__at")).alias(gone))
 
-    rows = docs.withColumn(KEY, row_key(doc_id, text)).join(places, KEY, "left")
-    lines = text_lines(F.col(text))
+    rows = docs.withColumn(key, row_key(doc_id, text)).join(places, key, "left")
     none = F.array().cast("array<int>")
-    rows = rows.withColumn("__lines", lines).withColumn("__gone", F.coalesce("__gone", none))
+    rows = rows.withColumn(lines, text_lines(F.col(text)))
+    rows = rows.withColumn(gone, F.coalesce(gone, none))
     # What stays are the stretches between dropped lines.
-    starts = F.concat(F.array(F.lit(0)), F.transform("__gone", lambda at: at + 1))
-    ends = F.concat(F.col("__gone"), F.array(F.size("__lines")))
+    starts = F.concat(F.array(F.lit(0)), F.transform(gone, lambda at: at + 1))
+    ends = F.concat(F.col(gone), F.array(F.size(lines)))
     kept = F.flatten(
-        F.zip_with(starts, ends, lambda s, e: F.slice(F.col("__lines"), s + 1, e - s))
+        F.zip_with(starts, ends, lambda s, e: F.slice(F.col(lines), s + 1, e - s))
     )
-    kept_text = F.when(F.size("__gone") == 0, F.coalesce(F.col(text), F.lit(""))).otherwise(
+    kept_text = F.when(F.size(gone) == 0, F.coalesce(F.col(text), F.lit(""))).otherwise(
         F.array_join(kept, "\n")
     )
     rows = rows.withColumn(text, kept_text)
     names = list(docs.columns)
-    for name, value in zip(counts or (), (F.size("__lines"), F.size("__gone")), strict=False):
+    for name, value in zip(counts or (), (F.size(lines), F.size(gone)), strict=False):
         rows = rows.withColumn(name, value.cast("long"))
         names += [name] if name not in names else []
     return rows.select(*[F.col(f"`{n}`") for n in names])

@@ -33,20 +33,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as model_pb2
 
-from weblens.llm.common import share
+from weblens.llm.common import free_name, share
 from weblens.llm.hashed_words import row_slices
 
 MARK = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, BYTE, USER_DEFINED = 1, 2, 6, 4
-# Words after which a worker forgets those it has not met lately (twice as many stay at
-# most, besides a group's own), and pairs whose compatibility it keeps.
-MEMO_WORDS = 250_000
-MEMO_PAIRS = 1_000_000
-CODED = "__coded"
-# Texts are worked on in groups of at least so many characters.
-GROUP_CHARS = 1 << 20
-ID = ""  # a trie node's entry for the piece that ends there
+# What a worker remembers of words in bytes, the longest word it does, and the pairs of
+# pieces whose compatibility it keeps. Of each, the half it has not met lately goes.
+MEMO_BYTES = 32 << 20
+MEMO_CHARS = 100
+MEMO_PAIRS = 250_000
+# Texts are worked on in groups of at least so many characters, rows in runs of so many bytes.
+GROUP_CHARS = 1 << 18
+RUN_BYTES = 1 << 20
+CHAR_BITS = 21  # a trie's step is a node and a character
 NOTHING = 1 << 23  # stands for what is before a word; ids and characters are smaller
 PAIR = 1 << 24
 UNKNOWN_PENALTY = 10.0  # fixed value of Unigram models: below the least score by so much
@@ -76,7 +77,9 @@ class PieceCoder:
         self.pieces = [p.piece for p in model.pieces]
         self.scores_by_id = [p.score for p in model.pieces]
         self.scores: dict[str, float] = {}
-        self.vocabulary: dict = {}  # a trie: characters to nodes, and `ID` to a piece
+        # A trie of the vocabulary: from a node by a character, and the piece that ends there.
+        self.steps: dict[int, int] = {}
+        self.piece_at = [-1]
         self.byte_ids: list[int] = [0] * 256
         self.unknown = 0
         self.falls_back = model.trainer_spec.byte_fallback
@@ -84,10 +87,13 @@ class PieceCoder:
         for i, piece in enumerate(model.pieces):
             out = b""
             if piece.type == NORMAL:
-                node = self.vocabulary
+                node = 0
                 for char in piece.piece:
-                    node = node.setdefault(char, {})
-                node[ID] = i
+                    step = node << CHAR_BITS | ord(char)
+                    node = self.steps.setdefault(step, len(self.piece_at))
+                    if node == len(self.piece_at):
+                        self.piece_at.append(-1)
+                self.piece_at[node] = i
                 self.scores[piece.piece] = piece.score
                 out = piece.piece.replace(MARK, " ").encode()
             elif piece.type == BYTE:
@@ -102,9 +108,15 @@ class PieceCoder:
         self.quick = self.plain and not crossing
         self.word = re.compile(r"(?s).+" if crossing else rf"{MARK}*[^{MARK}]+|{MARK}+")
         self.unknown_score = min(self.scores.values(), default=0.0) - UNKNOWN_PENALTY
+        self.forget()
+
+    def forget(self) -> None:
+        """Give up what was remembered; a worker may go on to other work."""
         self.pairs: dict[int, bool] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.older_pairs: dict[int, bool] = {}
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.held = 0
 
     # --- encoding
 
@@ -121,28 +133,45 @@ class PieceCoder:
         return self.word.findall(self.normalise(text))
 
     def encode(self, texts: list[str]) -> list[list[int]]:
+        return [np.frombuffer(row, np.int32).tolist() for row in self.encode_rows(texts)]
+
+    def encode_rows(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as 32-bit numbers laid end to end."""
         split = [self.marked_words(t) for t in texts]
-        distinct = set(chain.from_iterable(split))
-        if len(self.words) > MEMO_WORDS:  # words met since stay, older ones go
-            self.older, self.words = self.words, {}
-        new = distinct.difference(self.words)
-        met = new.intersection(self.older)
-        for word in met:
-            self.words[word] = self.older[word]
-        self._learn(sorted(new - met))
-        known = self.words.__getitem__
-        return [list(chain.from_iterable(map(known, words))) for words in split]
-
-    def _learn(self, words: list[str]) -> None:
-        """Depth-first over the trie of sorted words.
+        found: dict[str, bytes] = {}
+        new = []
+        for word in set(chain.from_iterable(split)):
+            ids = self.words.get(word)
+            if ids is None:
+                ids = self.older.get(word)
+                if ids is None:
+                    new.append(word)
+                    continue
+                self._remember(word, ids)
+            found[word] = ids
+        new.sort()
+        for word, ids in zip(new, self._learn(new), strict=True):
+            found[word] = ids
+            if len(word) <= MEMO_CHARS:
+                self._remember(word, ids)
+        return [b"".join(map(found.__getitem__, words)) for words in split]
+
+    def _remember(self, word: str, ids: bytes) -> None:
+        self.words[word] = ids
+        self.held += 250 + 2 * len(word) + len(ids)
+        if 2 * self.held > MEMO_BYTES:  # words met since stay, older ones go
+            self.older, self.words, self.held = self.words, {}, 0
+
+    def _learn(self, words: list[str]) -> Iterator[bytes]:
+        """Depth-first over the trie of sorted words; the ids of each.
 
         The lists have an entry for each prefix of the word at hand: the pieces of the
         vocabulary that may still go on (where each began and its node in the vocabulary's
         trie), and the forward state: where the prefix's last piece begins, its id, and the
         score.
         """
-        merges, root, size = self.kind == BPE, self.vocabulary, self.size
-        pairs, compatible = self.pairs, self._compatible
+        merges, size = self.kind == BPE, self.size
+        steps, piece_at, compatible = self.steps, self.piece_at, self._compatible
         open_pieces: list[list] = [[]]
         begins, last, scores = [0], [NOTHING], [0.0]
         before = ""
@@ -152,22 +181,23 @@ class PieceCoder:
                 same += 1
             for kept in (open_pieces, begins, last, scores):
                 del kept[same + 1 :]
+            pairs = self.pairs
             for at in range(same, len(word)):
-                char = word[at]
+                char = ord(word[at])
                 going, ending = [], []
                 for begin, node in open_pieces[at]:
-                    node = node.get(char)
+                    node = steps.get(node << CHAR_BITS | char)
                     if node is not None:
                         going.append((begin, node))
-                        if ID in node:
-                            ending.append((begin, node[ID]))
+                        if piece_at[node] >= 0:
+                            ending.append((begin, piece_at[node]))
                 open_pieces.append(going)
-                node = root.get(char)
+                alone = size + char
+                node = steps.get(char)
                 if node is not None:
                     going.append((at, node))
-                    alone = node.get(ID, size + ord(char))
-                else:
-                    alone = size + ord(char)
+                    if piece_at[node] >= 0:
+                        alone = piece_at[node]
                 if not merges:
                     self._best(ending, at, alone, begins, last, scores)
                     continue
@@ -181,8 +211,8 @@ class PieceCoder:
                 else:
                     begins.append(at)
                     last.append(alone)
-            self.words[word] = self._ids_of(begins, last)
             before = word
+            yield np.array(self._ids_of(begins, last), np.int32).tobytes()
 
     def _best(self, ending, at, alone, begins, last, scores) -> None:
         """The usual Viterbi step: the piece that makes the best sum of scores."""
@@ -200,11 +230,15 @@ class PieceCoder:
         return self.pieces[piece] if piece < self.size else chr(piece - self.size)
 
     def _compatible(self, pair: int, left: int, right: int) -> bool:
-        if len(self.pairs) >= MEMO_PAIRS:
-            self.pairs.clear()
-        expected = [self._text_of(p) for p in (left, right) if p != NOTHING]
-        fits = self.merge("".join(expected)) == expected
+        fits = self.older_pairs.get(pair)
+        if fits is None:
+            expected = [self._text_of(p) for p in (left, right) if p != NOTHING]
+            fits = self.merge("".join(expected)) == expected
         self.pairs[pair] = fits
+        if 2 * len(self.pairs) > MEMO_PAIRS:
+            # The same dictionary goes on, as `_learn` holds it.
+            self.older_pairs = dict(self.pairs)
+            self.pairs.clear()
         return fits
 
     def merge(self, text: str) -> list[str]:
@@ -221,7 +255,7 @@ class PieceCoder:
             i = min(found)[1]
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
 
-    def _ids_of(self, begins: list[int], last: list[int]) -> tuple[int, ...]:
+    def _ids_of(self, begins: list[int], last: list[int]) -> list[int]:
         out: list[int] = []
         end = len(begins) - 1
         while end:
@@ -233,7 +267,7 @@ class PieceCoder:
             elif not (out and out[-1] == self.unknown):  # the library joins unknown neighbours
                 out.append(self.unknown)
             end = begins[end]
-        return tuple(reversed(out))
+        return out[::-1]
 
     # --- decoding
 
@@ -270,9 +304,9 @@ def groups(texts: list[str | None]) -> Iterator[list[str]]:
         yield group
 
 
-def int_lists(rows: list[list[int]]) -> pa.ListArray:
-    ends = np.cumsum([0, *map(len, rows)], dtype=np.int64)
-    flat = np.fromiter(chain.from_iterable(rows), dtype=np.int32, count=int(ends[-1]))
+def int_lists(rows: list[bytes]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, rows)], dtype=np.int64) // 4
+    flat = np.frombuffer(b"".join(rows), np.int32)
     return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))
 
 
@@ -299,31 +333,38 @@ def encode_pieces(
     model = share(docs.sparkSession, model_proto)
     both = decoded is not None
 
-    def ids_and_texts(texts: list[str | None]) -> tuple[list[pa.Array], list[pa.Array]]:
-        coder = coder_of(model.value)
+    def ids_and_texts(coder: PieceCoder, texts: list[str | None]) -> tuple[list, list]:
         ids, back = [], []
         for group in groups(texts):
-            rows = coder.encode(group)
+            rows = coder.encode_rows(group)
             ids.append(int_lists(rows))
-            back.append(pa.array(map(coder.decode, rows) if both else [], pa.string()))
+            if both:
+                decoded_rows = (coder.decode(np.frombuffer(r, np.int32).tolist()) for r in rows)
+                back.append(pa.array(decoded_rows, pa.string()))
         return ids, back
 
     @F.arrow_udf("struct<ids:array<int>,text:string>" if both else "array<int>")
     def encode(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         # Results leave some rows at a time, so a worker never holds those of a whole batch.
-        for part in chain.from_iterable(map(row_slices, parts)):
-            ids, back = ids_and_texts(part.to_pylist())
-            coded = pa.concat_arrays(ids or [pa.array([], pa.list_(pa.int32()))])
-            if both:
-                texts = pa.concat_arrays(back or [pa.array([], pa.string())])
-                coded = pa.StructArray.from_arrays([coded, texts], names=["ids", "text"])
-            yield coded
+        coder = coder_of(model.value)
+        try:
+            for part in chain.from_iterable(row_slices(p, RUN_BYTES) for p in parts):
+                ids, back = ids_and_texts(coder, part.to_pylist())
+                coded = pa.concat_arrays(ids or [pa.array([], pa.list_(pa.int32()))])
+                if both:
+                    texts = pa.concat_arrays(back or [pa.array([], pa.string())])
+                    coded = pa.StructArray.from_arrays([coded, texts], names=["ids", "text"])
+                yield coded
+        finally:
+            coder.forget()
+            pa.default_memory_pool().release_unused()
 
     if not both:
         return docs.withColumn(out, encode(F.col(text)))
-    coded = docs.withColumn(CODED, encode(F.col(text)))
-    coded = coded.withColumn(out, F.col(CODED)["ids"]).withColumn(decoded, F.col(CODED)["text"])
-    return coded.drop(CODED)
+    both_columns = free_name(docs, "coded")
+    coded = docs.withColumn(both_columns, encode(F.col(text)))
+    coded = coded.withColumn(out, F.col(both_columns)["ids"])
+    return coded.withColumn(decoded, F.col(both_columns)["text"]).drop(both_columns)
 
 
 def decode_pieces(

@@ -34,7 +34,9 @@ from weblens.shared import cut_lineage
 
 CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 512
-MEMO_PARTS = 500_000
+# What a worker remembers of parts in bytes, and the longest part it does.
+MEMO_BYTES = 32 << 20
+MEMO_CHARS = 100
 
 
 class TokenCounter:
@@ -59,7 +61,12 @@ class TokenCounter:
         self.known = {p.piece for p in model.pieces if p.type == NORMAL and joins} or None
         # Whether a space after any other character is stable.
         self.words = self.proves and not any(n[1] == MARK != n[0] for n in self.neighbours)
+        self.forget()
+
+    def forget(self) -> None:
+        """Give up what was remembered; a worker may go on to other work."""
         self.parts: dict[str, int] = {}
+        self.held = 0
 
     def stable(self, left: str, right: str) -> bool:
         pair = (left + right).replace(" ", MARK)
@@ -72,14 +79,18 @@ class TokenCounter:
         if not self.words or self.known is not None:
             return [len(ids) for ids in self.library.encode(texts, num_threads=1)]
         split = [_parts(t) for t in texts]
-        new = set(chain.from_iterable(p for p in split if p)).difference(self.parts)
-        if len(self.parts) + len(new) > MEMO_PARTS:
-            self.parts.clear()
-            new = set(chain.from_iterable(p for p in split if p))
-        ordered = list(new)
-        encoded = self.library.encode(ordered, num_threads=1)
-        self.parts.update(zip(ordered, map(len, encoded), strict=True))
-        known = self.parts.__getitem__
+        distinct = set(chain.from_iterable(p for p in split if p))
+        if self.held > MEMO_BYTES:
+            self.forget()
+        found = {p: n for p in distinct if (n := self.parts.get(p)) is not None}
+        new = list(distinct.difference(found))
+        encoded = self.library.encode(new, num_threads=1)
+        for part, n in zip(new, map(len, encoded), strict=True):
+            found[part] = n
+            if len(part) <= MEMO_CHARS and self.held <= MEMO_BYTES:
+                self.parts[part] = n
+                self.held += 180 + 2 * len(part)
+        known = found.__getitem__
         return [
             sum(map(known, parts)) if parts is not None else len(self.library.encode(text))
             for text, parts in zip(texts, split, strict=True)
@@ -152,9 +163,12 @@ def count_tokens(
     @F.arrow_udf("long")
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         counter = counter_of(model.value)
-        for batch in batches:
-            found = [counter.count(g) for g in groups(batch.to_pylist())]
-            yield pa.array(chain.from_iterable(found), pa.int64())
+        try:
+            for batch in batches:
+                found = [counter.count(g) for g in groups(batch.to_pylist())]
+                yield pa.array(chain.from_iterable(found), pa.int64())
+        finally:
+            counter.forget()
 
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")
