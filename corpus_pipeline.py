@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weblens.llm import toxicity
-from weblens.llm.common import KEY, read_table, row_key
+from weblens.llm.common import KEY, free_name, read_table, row_key
 from weblens.llm.decontaminate import contamination
 from weblens.llm.jaccard_join import near_duplicates
 from weblens.llm.line_dedup import dedup_lines
@@ -21,8 +21,6 @@ from weblens.llm.pieces import encode_pieces, read_model
 from weblens.llm.queries import MODEL
 from weblens.shared import broadcast_within_limit, cut_lineage
 
-SCORE = "__toxicity"
-
 
 def named(docs: DataFrame) -> list:
     """The columns of `docs` in their order, whatever signs their names hold."""
@@ -34,8 +32,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.train_toxicity(
         read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     )
-    scored = toxicity.score_toxicity(docs, model, out=SCORE)
-    return scored.where(F.col(SCORE) < toxicity.THRESHOLD).drop(SCORE)
+    score = free_name(docs, "toxicity")
+    scored = toxicity.score_toxicity(docs, model, out=score)
+    return scored.where(F.col(score) < toxicity.THRESHOLD).drop(score)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,9 +60,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold benchmark passages beyond the contamination rule go."""
     found = contamination(docs, read_table(spark, sf_dir, "benchmark"))
-    gone = cut_lineage(found.where("contaminated").select(KEY).distinct())
-    keyed = docs.withColumn(KEY, row_key("doc_id", "text"))
-    return keyed.join(broadcast_within_limit(gone), KEY, "left_anti").select(named(docs))
+    key = free_name(docs, "key")
+    gone = cut_lineage(found.where("contaminated").select(F.col(KEY).alias(key)).distinct())
+    keyed = docs.withColumn(key, row_key("doc_id", "text"))
+    return keyed.join(broadcast_within_limit(gone), key, "left_anti").select(named(docs))
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
