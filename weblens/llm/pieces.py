@@ -23,6 +23,7 @@ Both give the ids that the model's own library gives.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -41,12 +42,12 @@ UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, BYTE, USER_DEFINED = 1, 2, 6, 4
 # What a worker remembers of words in bytes, the longest word it does, and the pairs of
 # pieces whose compatibility it keeps. Of each, the half it has not met lately goes.
-MEMO_BYTES = 32 << 20
+MEMO_BYTES = 80 << 20
 MEMO_CHARS = 100
-MEMO_PAIRS = 250_000
+MEMO_PAIRS = 600_000
 # Texts are worked on in groups of at least so many characters, rows in runs of so many bytes.
-GROUP_CHARS = 1 << 18
-RUN_BYTES = 1 << 20
+GROUP_CHARS = 1 << 20
+RUN_BYTES = 2 << 20
 CHAR_BITS = 21  # a trie's step is a node and a character
 NOTHING = 1 << 23  # stands for what is before a word; ids and characters are smaller
 PAIR = 1 << 24
@@ -212,7 +213,7 @@ class PieceCoder:
                     begins.append(at)
                     last.append(alone)
             before = word
-            yield np.array(self._ids_of(begins, last), np.int32).tobytes()
+            yield array("i", self._ids_of(begins, last)).tobytes()
 
     def _best(self, ending, at, alone, begins, last, scores) -> None:
         """The usual Viterbi step: the piece that makes the best sum of scores."""
