@@ -119,6 +119,10 @@ class PieceCoder:
         self.older: dict[str, bytes] = {}
         self.held = 0
 
+    def rest(self) -> None:
+        """Keep what the next task most likely needs, at most half the bound, and the pairs."""
+        self.older = {}
+
     # --- encoding
 
     def normalise(self, text: str) -> str:
@@ -357,7 +361,7 @@ def encode_pieces(
                     coded = pa.StructArray.from_arrays([coded, texts], names=["ids", "text"])
                 yield coded
         finally:
-            coder.forget()
+            coder.rest()
             pa.default_memory_pool().release_unused()
 
     if not both:
