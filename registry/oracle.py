@@ -336,6 +336,9 @@ ORACLE: dict[str, str] = {
     "table_key_lookup": """
         SELECT c_custkey, c_name FROM customer
         WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)""",
+    "keyed_lookup": """
+        SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+        WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal < -900)""",
     "table_scan_filter": """
         SELECT * FROM customer WHERE c_acctbal < 0 AND c_mktsegment = 'BUILDING'""",
     "detect_format": DETECTED,
@@ -378,6 +381,12 @@ ORACLE: dict[str, str] = {
         UNION ALL
         SELECT DISTINCT 'status_code', CAST(status_code AS VARCHAR) FROM logs
         WHERE {DATED} AND {IN_LEVELS}""",
+    "facet_counts": f"""{LOGS}
+        SELECT 'error_level' AS facet, error_level AS value, count(*) AS n FROM logs
+        WHERE {DATED} AND status_code IN (200, 404) GROUP BY 2
+        UNION ALL
+        SELECT 'status_code', CAST(status_code AS VARCHAR), count(*) FROM logs
+        WHERE {DATED} AND {IN_LEVELS} GROUP BY 2""",
     "filter_errors": filtered(IS_ERROR),
     "search_logs": filtered(SEARCH_HIT),
     "filter_recent": filtered(RECENT.format("logs")),

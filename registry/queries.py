@@ -126,6 +126,18 @@ def table_scan_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.table_scan_filter(customers, "c_acctbal < 0 AND c_mktsegment = 'BUILDING'")
 
 
+def keyed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders of some customers, out of a table bucketed by customer."""
+    orders = L.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    wanted = L.table(spark, sf_dir, "customer").where("c_acctbal < -900").select("c_custkey")
+    path = new_shared_path(spark, "keyed")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    sources.write_keyed_table(orders, name, path, "o_custkey", buckets=16)
+    found = sources.keyed_lookup(spark.table(name), "o_custkey", wanted)
+    spark.sql(f"DROP TABLE {name}")  # the name only, its files stay
+    return found
+
+
 # --- parsing -----------------------------------------------------------------------
 
 
@@ -196,6 +208,14 @@ def search_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("line_no", "ts", "status_code", "error_level", "raw")
 
 
+def facet_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of levels and statuses under the filters, out of bitmaps."""
+    path = new_shared_path(spark, "facets")
+    ops.build_facet_index(access_logs(spark, sf_dir), path)
+    index = ops.read_facet_index(spark, path, START, END)
+    return ops.facet_counts(index, LEVELS, STATUSES)
+
+
 # --- sequences and alerts ----------------------------------------------------------
 
 
@@ -312,6 +332,7 @@ QUERIES: dict[str, Query] = {
     "write_text": write_text,
     "export_csv": export_csv,
     "table_key_lookup": table_key_lookup,
+    "keyed_lookup": keyed_lookup,
     "table_scan_filter": table_scan_filter,
     # parsing
     "detect_format": lambda s, d: detect_format(all_lines(s, d)),
@@ -333,6 +354,7 @@ QUERIES: dict[str, Query] = {
     "filter_status": filtered(ops.filter_status, [404, 408, None]),
     "filter_pipeline": filter_combined,
     "facet_values": lambda s, d: ops.facet_values(access_logs(s, d), START, END, LEVELS),
+    "facet_counts": facet_counts,
     "filter_errors": filtered(ops.filter_errors),
     "search_logs": filtered(ops.search_logs, SEARCH),
     "search_stored": search_stored,

@@ -6,6 +6,12 @@ from weblens.operators.alerts import (
     new_errors,
     next_high_water,
 )
+from weblens.operators.facet_bitmaps import (
+    build_facet_index,
+    facet_counts,
+    read_facet_index,
+    selected_count,
+)
 from weblens.operators.filters import (
     date_bounds,
     facet_values,
@@ -53,6 +59,7 @@ from weblens.operators.search_index import (
 from weblens.operators.sequence import number_entries, project_series, status_sequence
 
 __all__ = [
+    "build_facet_index",
     "build_search_index",
     "candidate_files",
     "date_bounds",
@@ -60,6 +67,7 @@ __all__ = [
     "error_delta",
     "error_rate",
     "errors_by_hour_level",
+    "facet_counts",
     "facet_values",
     "filter_date_range",
     "filter_errors",
@@ -82,9 +90,11 @@ __all__ = [
     "number_entries",
     "peak_hours",
     "project_series",
+    "read_facet_index",
     "recent_minute_traffic",
     "search_logs",
     "search_stored",
+    "selected_count",
     "sort_logs",
     "status_class_breakdown",
     "status_sequence",
