@@ -244,6 +244,20 @@ def test_carriage_return_is_part_of_the_line(lines):
         ("[5/6/2025]", datetime(2025, 5, 6), "INFO"),
         ("[13/13/2025]", None, "INFO"),
         ("[2025/11/23]", datetime(2025, 11, 23), "INFO"),
+        ("[11/23/2025 08:15:23 AM] x", NOON, "INFO"),
+        ("[11/23/2025 08:15:23 PM]", datetime(2025, 11, 23, 20, 15, 23), "INFO"),
+        ("[11/23/2025 8:15 pm]", datetime(2025, 11, 23, 20, 15), "INFO"),
+        ("[Nov 23, 2025 12:00:01AM]", datetime(2025, 11, 23, 0, 0, 1), "INFO"),
+        ("[2025/11/23 12:30:00 PM]", datetime(2025, 11, 23, 12, 30), "INFO"),
+        ("[2025/11/23 1:30:00.5 PM +0100]", datetime(2025, 11, 23, 13, 30, 0, 500000), "INFO"),
+        ("[11/23/2025 13:15:23 PM]", None, "INFO"),  # no hour of a half day
+        ("[11/23/2025 PM]", None, "INFO"),
+        ("[20251123 081523]", NOON, "INFO"),
+        ("[20251123T081523Z] up", NOON, "INFO"),
+        ("[20251123081523]", NOON, "INFO"),
+        ("[20251123]", datetime(2025, 11, 23), "INFO"),
+        ("[20251323 081523]", None, "INFO"),
+        ("[20251123 0815]", None, "INFO"),
         ("[Nov 23, 2025]", datetime(2025, 11, 23), "INFO"),
         ("[23 Nov 2025 08:15]", datetime(2025, 11, 23, 8, 15), "INFO"),
         ("[pid 7] [2025-11-23]", None, "INFO"),  # only the first bracket is looked at

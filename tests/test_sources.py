@@ -235,6 +235,25 @@ def test_broadcast_only_within_the_limit(spark):
     assert "broadcast" not in plan(broadcast_within_limit(small, limit_bytes=5_000))
 
 
+NESTED = {
+    "array(repeat('x', 50), repeat('y', 50))": 100 * 100,
+    "struct(1 AS `a.b`, repeat('x', 90) AS s)": 100 * 90,
+    "map(repeat('k', 50), array(repeat('v', 50)))": 100 * 100,
+    "CAST(repeat('x', 90) AS binary)": 100 * 90,
+    "array(struct(array(1, 2), NULL AS n), NULL)": 100 * 16 * 4,
+    "CAST(NULL AS array<string>)": 0,
+}
+
+
+@pytest.mark.parametrize("value", NESTED)
+def test_broadcast_measures_nested_values(spark, value):
+    table = cut_lineage(spark.range(100).selectExpr(f"{value} AS `a b`"))
+    plan = lambda df: df._jdf.queryExecution().analyzed().toString()
+    least = NESTED[value]
+    assert "broadcast" not in plan(broadcast_within_limit(table, limit_bytes=max(least, 100 * 47)))
+    assert "broadcast" in plan(broadcast_within_limit(table, limit_bytes=3 * least + 100 * 100))
+
+
 def test_latest_errors_do_not_depend_on_the_split(spark, tmp_path, small_splits):
     text = {"a.log": "\n".join(ACCESS.format(n=n).replace(" 200 ", " 500 ") for n in range(100))}
     scan = scan_log_text(spark, write(tmp_path, text))

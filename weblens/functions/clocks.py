@@ -46,7 +46,8 @@ def bracket_clocks() -> str:
     """Clocks a bracket in a free-form line may hold, each filling the bracket.
 
     Seconds, and after a date the whole time, may be missing. Of two numbers parted by a
-    slash the first is the month unless it is above 12.
+    slash the first is the month unless it is above 12. A time may be one of a half day, and
+    date and time may be plain digits.
     """
     fraction = r"(?:[.,]\d{1,6})?"
     time = rf"\d{{1,2}}:\d{{2}}(?::\d{{2}}{fraction})?"
@@ -59,8 +60,10 @@ def bracket_clocks() -> str:
         error_clock("F", fraction),
         rf"(?:{WEEKDAY},?\s+)?(?<dayG>\d{{1,2}})\s+(?<monthG>{_MONTH})\s+(?<yearG>\d{{4}})(?:\s+(?<timeG>{time})(?:\s+GMT)?)?",
         rf"(?<monthH>{_MONTH})\s+(?<dayH>\d{{1,2}}),?\s+(?<yearH>\d{{4}})(?:\s+(?<timeH>{time}))?",
+        r"(?<yearK>\d{4})(?<numK>\d{2})(?<dayK>\d{2})(?:[T\s]?(?<timeK>\d{6}))?",
     )
-    return rf"\s*(?:{'|'.join(forms)})(?:\s*(?<zoneC>{ZONE}))?\s*(?=\])"
+    half = r"(?:\s*(?<half>[AaPp])[Mm])?"
+    return rf"\s*(?:{'|'.join(forms)}){half}(?:\s*(?<zoneC>{ZONE}))?\s*(?=\])"
 
 
 def clock_parts(named: str = "", numbered: str = "") -> list[str]:
@@ -88,6 +91,24 @@ def wall_clock(year: Column, month: Column, rest: Column) -> Column:
     return F.concat(year, number, rest).try_cast("timestamp_ntz")
 
 
+def whole_day_time(rest: Column, half: Column) -> Column:
+    """Day and time with the hour counted from midnight, and with the time's colons.
+
+    `half` is `a`, `p` or empty; an hour above 12 in a half day gives NULL.
+    """
+    day, time = F.substring_index(rest, " ", 1), F.substring_index(rest, " ", -1)
+    hour = F.substring_index(time, ":", 1).try_cast("int")
+    counted = hour % 12 + F.when(F.lower(half) == "p", 12).otherwise(0)
+    behind = time.substr(F.instr(time, ":"), F.lit(32))
+    moved = F.concat(day, F.lit(" "), F.lpad(counted.cast("string"), 2, "0"), behind)
+    digits = F.concat_ws(":", time.substr(1, 2), time.substr(3, 2), time.substr(5, 2))
+    return (
+        F.when((half == "") & ((F.instr(time, ":") > 0) | (time == "")), rest)
+        .when(half == "", F.concat(day, F.lit(" "), digits))
+        .when(hour <= 12, moved)
+    )
+
+
 def instant(clock: Column, zone: Column) -> Column:
     """The instant of a wall clock in a written zone; NULL without a zone."""
     return F.when(zone != "", F.concat(clock.cast("string"), zone).try_cast("timestamp"))

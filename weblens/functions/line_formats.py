@@ -26,6 +26,7 @@ from weblens.functions.clocks import (
     instant,
     iso_clock,
     wall_clock,
+    whole_day_time,
 )
 
 # The line patterns, used as they are to detect a file's format.
@@ -233,15 +234,16 @@ _FREE_LINE = (
     rf"(?:(?=.*?{iso_clock('A')})|(?=.*?{access_clock('B').replace('{1,2}', '{2}')})"
     rf"|(?=[^\[]*+\[(?:{bracket_clocks()})?[^\]]*+\])|).*"
 )
-_FREE_PARTS = (*clock_parts(named="BFGH", numbered="ACDEI"), "${zoneC}")
+_FREE_PARTS = (*clock_parts(named="BFGH", numbered="ACDEIK"), "${zoneC}", "${half}")
 
 
 def _generic_fields(raw: Column, part: Column) -> dict[str, Column]:
+    rest = whole_day_time(F.replace(part[2], F.lit(","), F.lit(".")), part[4])
     return {
         "parse_status": F.lit(S.MATCHED),
         "error_level": keyword_level(raw),
         "message": raw,
-    } | _clock_fields(part[0], part[1], F.replace(part[2], F.lit(","), F.lit(".")), part[3])
+    } | _clock_fields(part[0], part[1], rest, part[3])
 
 
 GENERIC = LineFormat(

@@ -9,7 +9,7 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.files.minPartitionNum": "200",
+    "spark.sql.files.minPartitionNum": "32",
 }
 
 

@@ -7,8 +7,9 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_LIMIT_BYTES = 256 * 1024 * 1024
 
@@ -44,20 +45,37 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _value_bytes(value: Column, kind: T.DataType) -> Column:
+    """About how many bytes a value takes in a hash table, nested ones with all they hold."""
+    held = F.lit(0).cast("bigint")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        held = F.octet_length(value).cast("bigint")
+    elif isinstance(kind, T.ArrayType):
+        held = F.aggregate(value, held, lambda n, x: n + _value_bytes(x, kind.elementType))
+    elif isinstance(kind, T.MapType):
+        keys = T.ArrayType(kind.keyType)
+        values = T.ArrayType(kind.valueType)
+        held = _value_bytes(F.map_keys(value), keys) + _value_bytes(F.map_values(value), values)
+    elif isinstance(kind, T.StructType):
+        for field in kind.fields:
+            held = held + _value_bytes(value.getField(field.name), field.dataType)
+    return F.coalesce(held, F.lit(0).cast("bigint")) + 16
+
+
 def broadcast_within_limit(
     df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES
 ) -> DataFrame:
     """Mark `df` for broadcast if its measured size is within the limit.
 
-    The size is counted (text bytes plus a fixed share per row), so pass an
-    intermediate that is already written. Above the limit the frame comes back
-    unmarked and the join shuffles by key.
+    The size is counted (bytes of texts, binaries and all elements of nested columns, plus a
+    fixed share per value and row), so pass an intermediate that is already written. Above the
+    limit the frame comes back unmarked and the join shuffles by key.
     """
-    text = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
-    row_bytes = F.lit(16 * (len(df.columns) + 2))
-    for name in text:
-        row_bytes = row_bytes + F.coalesce(F.octet_length(name), F.lit(0))
-    measured = df.agg(F.sum(row_bytes.cast("bigint"))).first()[0] or 0
+    row_bytes = F.lit(32).cast("bigint")
+    for field in df.schema.fields:
+        name = "`" + field.name.replace("`", "``") + "`"
+        row_bytes = row_bytes + _value_bytes(F.col(name), field.dataType)
+    measured = df.agg(F.sum(row_bytes)).first()[0] or 0
     return F.broadcast(df) if measured <= limit_bytes else df
 
 

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from weblens.shared import broadcast_within_limit, cut_lineage
 
 # How many tasks a scan is cut for at least, whatever the cluster. Spark would take the cores
-# there are just then, and two scans of one text could be split differently.
+# there are just then, and two scans of one text could be split differently. From some GB on the
+# largest size of a split decides; below, more tasks would cost more than they read.
 SPLITS = "spark.sql.files.minPartitionNum"
-LEAST_SPLITS = "200"
+LEAST_SPLITS = "32"
 
 
 def pin_splits(spark: SparkSession) -> None:
