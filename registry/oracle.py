@@ -326,6 +326,11 @@ ORACLE: dict[str, str] = {
     "log_file_inventory": f"""
         SELECT source, 'file' AS type, CAST(sum(strlen(raw) + 1) AS BIGINT) AS size
         FROM ({WRITTEN}) GROUP BY source""",
+    "list_entries": f"""
+        SELECT source, 'file' AS type, CAST(sum(strlen(raw) + 1) AS BIGINT) AS size
+        FROM ({WRITTEN}) GROUP BY source
+        UNION ALL SELECT DISTINCT source, 'directory', 0 FROM ({WRITTEN})
+        UNION ALL SELECT DISTINCT split_part(source, '/', 1), 'directory', 0 FROM ({WRITTEN})""",
     "log_profile": f"""
         SELECT source, count(*) AS total_lines,
           CAST(sum(length(raw) + 1) AS BIGINT) AS size_chars,

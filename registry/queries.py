@@ -98,6 +98,14 @@ def log_file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.select(L.source_name("path").alias("source"), "type", "size")
 
 
+def list_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folders and files of the written logs; a file goes by the folder it is alone in."""
+    folder = log_files(spark, sf_dir)
+    found = sources.list_entries(spark, folder).where("name LIKE '%=%' OR name LIKE 'part-%'")
+    inside = F.regexp_replace(F.substring_index("path", f"{folder}/", -1), "/part-[^/=]*$", "")
+    return found.select(F.regexp_replace(inside, "source=|part=", "").alias("source"), "type", "size")
+
+
 def log_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     numbered = sources.number_lines(sources.scan_log_text(spark, log_files(spark, sf_dir)))
     return sources.log_profile(numbered).select(
@@ -328,6 +336,7 @@ QUERIES: dict[str, Query] = {
     "scan_log_text": scan_log_text,
     "scan_with_line_no": scan_with_line_no,
     "log_file_inventory": log_file_inventory,
+    "list_entries": list_entries,
     "log_profile": log_profile,
     "write_text": write_text,
     "export_csv": export_csv,

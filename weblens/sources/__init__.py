@@ -1,5 +1,5 @@
 from weblens.sources.heads import file_heads
-from weblens.sources.inventory import log_file_inventory
+from weblens.sources.inventory import list_entries, log_file_inventory
 from weblens.sources.keyed import keyed_lookup, open_keyed_table, write_keyed_table
 from weblens.sources.profile import log_profile
 from weblens.sources.tables import table_key_lookup, table_scan_filter
@@ -10,6 +10,7 @@ __all__ = [
     "index_bounds",
     "keyed_lookup",
     "line_index",
+    "list_entries",
     "log_file_inventory",
     "log_profile",
     "number_lines",
