@@ -17,6 +17,7 @@ RING = 720
 VIEW_SCHEMA = T.StructType(
     [
         T.StructField("view_id", T.LongType()),
+        T.StructField("minutes", T.LongType()),
         T.StructField("ts_event", T.TimestampType()),
         T.StructField("requests", T.LongType()),
     ]
@@ -34,9 +35,11 @@ def stream_minute_traffic(
 
     Counts are kept per clock value with a watermark one second longer, as a row right on
     the watermark counts as too late but one on the view's edge is part of it. Every batch
-    writes what changed, which runs the state once, and then the view as it then is: the one
-    before, with the batch's counts, cut to the last minutes.
+    writes the view before with the batch's counts in one job, which runs the state once. It
+    leaves out what is older than the last minutes of the view before, which is written and so
+    cheap to ask; readers cut at the view's own last minutes.
     """
+    span = F.expr(f"INTERVAL {int(minutes)} MINUTES")
     counts = (
         logs.where(F.col("ts").isNotNull())
         .select(F.col("ts").cast("timestamp").alias("ts_event"))
@@ -46,19 +49,20 @@ def stream_minute_traffic(
     )
 
     def refresh(changed: DataFrame, batch_id: int) -> None:
-        spark = changed.sparkSession
-        before = read_batch(spark, target, (batch_id - 1) % RING, VIEW_SCHEMA)
-        changes = f"{target}_changes"
-        write_batch(changed, changes, batch_id % RING)
-        view = changed = read_batch(spark, changes, batch_id % RING, changed.schema)
+        before = read_batch(changed.sparkSession, target, (batch_id - 1) % RING, VIEW_SCHEMA)
+        view = changed
         if before is not None:
-            last = before.where(F.col("view_id") == batch_id - 1).drop("view_id")
-            view = changed.unionByName(last)
+            last = before.where(F.col("view_id") == batch_id - 1)
+            edge = last.agg(F.max("ts_event") - span).scalar()
+            view = changed.unionByName(last.select(changed.columns))
+            view = view.where(F.coalesce(F.col("ts_event") >= edge, F.lit(True)))
         # A count only grows, so the largest one seen is the current one.
         view = view.groupBy("ts_event").agg(F.max("requests").alias("requests"))
-        edge = view.agg(F.max("ts_event") - F.expr(f"INTERVAL {int(minutes)} MINUTES")).scalar()
-        view = view.where(F.col("ts_event") >= edge).select(
-            F.lit(batch_id).cast("bigint").alias("view_id"), "ts_event", "requests"
+        view = view.select(
+            F.lit(batch_id).cast("bigint").alias("view_id"),
+            F.lit(int(minutes)).cast("bigint").alias("minutes"),
+            "ts_event",
+            "requests",
         )
         write_batch(view, target, batch_id % RING)
 
@@ -75,8 +79,11 @@ def live_minute_traffic(spark: SparkSession, target: str) -> DataFrame:
     """Requests per minute in the newest view: `(minute, requests)`."""
     views = read_all_batches(spark, target, VIEW_SCHEMA)
     newest = views.agg(F.max("view_id")).scalar()
+    view = views.where(F.col("view_id") == newest)
+    span = F.make_dt_interval(mins=F.col("minutes"))
+    edge = view.agg(F.max(F.col("ts_event") - span)).scalar()
     return (
-        views.where(F.col("view_id") == newest)
+        view.where(F.coalesce(F.col("ts_event") >= edge, F.lit(True)))
         .groupBy(minute_of(F.col("ts_event").cast("timestamp_ntz")).alias("minute"))
         .agg(F.sum("requests").alias("requests"))
     )
