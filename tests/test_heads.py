@@ -158,3 +158,25 @@ def test_a_repeated_batch_uses_the_formats_kept(spark, folder, tmp_path):
     start(spark, folder, tmp_path, max_files_per_trigger=9)
     got = spark.read.parquet(f"{target}/batch_id={n}").select("format").distinct().collect()
     assert [r.format for r in got] == ["generic"]
+
+
+def test_stream_batches_run_few_jobs(spark, tmp_path, monkeypatch):
+    """Files are listed once, and heads, formats and rows are a job or two each, not written twice."""
+    from weblens import shared
+    from weblens.plans import detect, parse
+
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for n in range(3):
+        (folder / f"[{n}] a.log").write_text(f"2024-01-01 10:00:0{n} INFO hello\n" * 3)
+    (folder / "blank.log").write_text(" \n\n")
+    written = []
+    for module in (detect, parse):
+        monkeypatch.setattr(module, "cut_lineage", lambda df: written.append(df) or shared.cut_lineage(df))
+    target, formats = str(tmp_path / "logs"), str(tmp_path / "formats")
+    query = stream_detected(spark, str(folder), target, formats, str(tmp_path / "cp"), {"availableNow": True})
+    query.awaitTermination()
+    assert not written
+    assert spark.read.parquet(target).count() == 9
+    assert {r.format for r in stream_formats(spark, formats).collect()} == {"generic"}
+    assert stream_formats(spark, formats).count() == 3

@@ -2,18 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from weblens.functions.line_formats import FORMATS, GENERIC, at_line_start
 from weblens.shared import broadcast_within_limit, cut_lineage
-from weblens.sources.heads import SAMPLE_LINES, file_heads
+from weblens.sources.heads import SAMPLE_LINES, file_heads, heads_of
 from weblens.sources.text import index_bounds, line_index, number_lines, scan_log_text
 
+_GLOB_SIGNS = re.compile(r"([\\{}\[\]*?])")
+
+LISTED = pa.schema([("file_path", pa.string()), ("path", pa.string()), ("length", pa.int64())])
+
 # Files that are named one by one in a plan at most.
 MOST_NAMED = 10_000
 
 
+def literal_path(path: str) -> str:
+    """A path in which no sign stands for others, for readers that take globs."""
+    return _GLOB_SIGNS.sub(r"\\\1", path)
+
+
 def text_bounds(lines: DataFrame) -> DataFrame:
     """First and last line of each file that is not blank.
 
@@ -86,17 +98,20 @@ def formats_of_heads(heads: DataFrame) -> DataFrame:
 
     Takes what `sources.file_heads` returns; files of blanks have no row. Nothing is shuffled.
     """
-    lines = F.size("head")
-    chosen = F.coalesce(
+    found = heads.where(F.col("head").isNotNull() & (F.size("head") > 0))
+    return found.select("file_path", _format_of("head").alias("format"), "smooth")
+
+
+def _format_of(head: str) -> Column:
+    lines = F.size(head)
+    return F.coalesce(
         *[
-            F.when(2 * F.size(F.filter("head", _fits(f.pattern))) >= lines, name)
+            F.when(2 * F.size(F.filter(head, _fits(f.pattern))) >= lines, name)
             for name, f in FORMATS.items()
             if f.pattern
         ],
         F.lit(GENERIC.name),
     )
-    found = heads.where(F.col("head").isNotNull() & (lines > 0))
-    return found.select("file_path", chosen.alias("format"), "smooth")
 
 
 def detect_heads(
@@ -111,15 +126,43 @@ def detect_heads(
     closed = heads.where("head IS NULL").select("file_path").limit(MOST_NAMED + 1).collect()
     if closed:
         names = [row.file_path for row in closed]
-        few = len(names) <= MOST_NAMED
-        here = F.col("_metadata.file_path").isin(names) if few else None
-        scan = scan_log_text(spark, path, glob, here)
-        index = line_index(scan)
-        whole = detect_format(number_lines(scan, index), index_bounds(index))
-        whole = whole.join(found, "file_path", "left_anti").select("file_path", "format")
-        found = found.unionByName(whole.withColumn("smooth", F.lit(None).cast("boolean")))
+        whole = _formats_of_text(spark, path, glob, names if len(names) <= MOST_NAMED else None)
+        found = found.unionByName(whole.join(found, "file_path", "left_anti"))
     return cut_lineage(found)
 
 
+def _formats_of_text(spark, path, glob, names: list[str] | None) -> DataFrame:
+    """`(file_path, format, smooth)` of the named files, by reading them whole."""
+    here = F.col("_metadata.file_path").isin(names) if names is not None else None
+    scan = scan_log_text(spark, path, glob, here)
+    index = line_index(scan)
+    whole = detect_format(number_lines(scan, index), index_bounds(index))
+    smooth = F.lit(None).cast("boolean").alias("smooth")
+    return whole.select("file_path", "format", smooth)
+
+
+def detect_listed(spark: SparkSession, files: list[Row]) -> list[Row]:
+    """`detect_heads` of a bounded number of files that are listed already, in one job.
+
+    Takes rows as `list_files` returns them, and returns rows of the formats.
+    """
+    columns = {name: [f[name] for f in files] for name in LISTED.names}
+    heads = heads_of(spark.createDataFrame(pa.table(columns, LISTED)), len(files))
+    closed = F.col("head").isNull()
+    # One pass: a closed file's row has no format, one of blanks only is left out.
+    told = heads.where(closed | (F.size("head") > 0)).select(
+        "file_path",
+        F.when(~closed, _format_of("head")).alias("format"),
+        F.when(~closed, F.col("smooth")).alias("smooth"),
+    )
+    rows = told.collect()
+    found = [r for r in rows if r.format]
+    closed_names = {r.file_path for r in rows if not r.format}
+    if closed_names:
+        paths = [literal_path(f.path) for f in files if f.file_path in closed_names]
+        found += _formats_of_text(spark, paths, None, None).collect()
+    return found
+
+
 def _fits(pattern: str):
     return lambda line: line.rlike(at_line_start(pattern))

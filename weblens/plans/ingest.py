@@ -47,13 +47,15 @@ def read_detected(
     path: str | list[str],
     glob: str | None = None,
     formats: DataFrame | None = None,
+    few_files: bool = False,
 ) -> DataFrame:
     """Parsed lines of all log files under `path`, each in its own format, in scan order.
 
     The rows are those of `read_logs`, but the text is read once: formats come from the heads
     of the files, a few KB each. Only files with blanks around their text, zipped ones and
     those that workers cannot open get a light pass that finds where their text begins and
-    ends. `formats` is what `detect_heads` returned, if that is known.
+    ends. `formats` is what `detect_heads` returned, if that is known; for `few_files` see
+    `parse_logs`.
     """
     if formats is None:
         formats = detect_heads(spark, path, glob)
@@ -61,15 +63,18 @@ def read_detected(
     rough = formats.where("smooth IS NOT TRUE").select("file_path").limit(MOST_NAMED + 1)
     names = [row.file_path for row in rough.collect()]
     if not names:
-        return parse_logs(spread(scan_log_text(spark, path, glob)), formats=named)
+        lines = spread(scan_log_text(spark, path, glob))
+        return parse_logs(lines, formats=named, few_files=few_files)
     here = F.col("_metadata.file_path").isin(names)
     every = len(names) > MOST_NAMED  # too many to name: all files get that pass
     scan = scan_log_text(spark, path, glob, None if every else here)
-    trimmed = parse_logs(trim_scan(spread(scan), line_index(scan)), formats=named)
+    trimmed = trim_scan(spread(scan), line_index(scan))
+    trimmed = parse_logs(trimmed, formats=named, few_files=few_files)
     if every:
         return trimmed
     smooth = spread(scan_log_text(spark, path, glob, ~here))
-    return parse_logs(smooth, formats=named).unionByName(trimmed)
+    smooth = parse_logs(smooth, formats=named, few_files=few_files)
+    return smooth.unionByName(trimmed)
 
 
 def trim_scan(scan: DataFrame, index: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,17 +36,22 @@ def _by_format(choices: dict[str, Column]) -> Column:
 
 def _parse(lines: DataFrame, formats: Iterable[LineFormat]) -> DataFrame:
     """Parse lines that carry their `format`, one of `formats`."""
-    formats = list(formats)
-    raw, part = F.col("raw"), F.col("_part")
     kept = [c for c in lines.columns if c not in S.LOG_FIELDS.names]
+    names = tuple(f.name for f in formats)
+    text, parts, columns = _parsing(lines.sparkSession.sparkContext.applicationId, names)
+    # The parts come out of a generator, so they are made once per line: a filter on a
+    # parsed column would otherwise be pushed down with the parsing copied into it.
+    return lines.where(text).select("*", parts).select(*kept, *columns)
+
+
+@lru_cache(maxsize=16)
+def _parsing(app: str, names: tuple[str, ...]) -> tuple[Column, Column, tuple[Column, ...]]:
+    """What `_parse` selects, made once an application: streams parse every few seconds."""
+    formats = [FORMATS[name] for name in names]
+    raw, part = F.col("raw"), F.col("_part")
     alone = len(formats) == 1
     by_format = (lambda choices: choices[formats[0].name]) if alone else _by_format
     in_parts = by_format({f.name: f.parts(raw) for f in formats})
-    # The parts come out of a generator, so they are made once per line: a filter on a
-    # parsed column would otherwise be pushed down with the parsing copied into it.
-    taken_apart = lines.where(has_text(raw)).select(
-        "*", F.explode(F.array(in_parts)).alias("_part")
-    )
     read = F.size(part) == by_format({f.name: F.lit(f.size) for f in formats})
     per_format = {f.name: f.fields(raw, part) for f in formats}
     instead = {"parse_status": S.UNPARSED_STATUS, "error_level": S.UNPARSED}
@@ -61,17 +67,22 @@ def _parse(lines: DataFrame, formats: Iterable[LineFormat]) -> DataFrame:
             value = value.otherwise(instead[field.name])
         return value.alias(field.name)
 
-    return taken_apart.select(*kept, *[column(f) for f in S.LOG_FIELDS.fields])
+    parts = F.explode(F.array(in_parts)).alias("_part")
+    return has_text(raw), parts, tuple(column(f) for f in S.LOG_FIELDS.fields)
 
 
 def parse_logs(
-    lines: DataFrame, format: str | None = None, formats: DataFrame | None = None
+    lines: DataFrame,
+    format: str | None = None,
+    formats: DataFrame | None = None,
+    few_files: bool = False,
 ) -> DataFrame:
     """Parse lines into the table of `schema.LOG_FIELDS`, keeping other columns as they are.
 
     - `format` names the format of every line: one pass, no join, works on streams.
     - `formats` gives `(file_path, format)`, as `detect_format` returns it (with its line
       bounds, the outer blanks of each file are cut too).
+      With `few_files` it is small and cheap to read, and so is neither written nor measured.
     - with neither, the formats are detected here, which reads the lines twice more.
 
     Blank lines are skipped; a line its format cannot read stays, as `UNPARSED`.
@@ -81,7 +92,10 @@ def parse_logs(
         return _parse(lines.withColumn("format", F.lit(one.name)), [one])
     if formats is None:
         formats = detect_format(lines)
-    formats = broadcast_within_limit(cut_lineage(formats))
+    if few_files:
+        formats = F.broadcast(formats)
+    else:
+        formats = broadcast_within_limit(cut_lineage(formats))
     known = lines.drop("format").join(formats, "file_path", "left")
     if {"first_line", "last_line"} <= set(formats.columns):
         known = trim_edges(known)

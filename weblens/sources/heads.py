@@ -190,11 +190,16 @@ def file_heads(spark: SparkSession, path: str | list[str], glob: str | None = No
     NULL where workers cannot read the file. `smooth` tells that no blanks but line ends stand
     before or after the text; NULL where that is not known. Written to the shared folder.
     """
-    ship(spark)
     files = cut_lineage(list_files(spark, path, glob))
+    return cut_lineage(heads_of(files, files.count()))
+
+
+def heads_of(files: DataFrame, count: int) -> DataFrame:
+    """`file_heads` of `count` files given as `list_files` returns them, not written."""
+    spark = files.sparkSession
+    ship(spark)
     # A row stands for a range read, so tasks are made by the number of rows.
-    tasks = min(max(math.ceil(files.count() / FILES_PER_TASK), 1), MOST_TASKS)
-    tasks = max(tasks, min(spark.sparkContext.defaultParallelism, files.count()))
+    tasks = min(max(math.ceil(count / FILES_PER_TASK), 1), MOST_TASKS)
+    tasks = max(tasks, min(spark.sparkContext.defaultParallelism, count))
     shape = "file_path string, head array<string>, smooth boolean, read_bytes long"
-    spread = files.repartition(max(tasks, 1), "file_path")
-    return cut_lineage(spread.mapInArrow(_read_heads, shape))
+    return files.repartition(max(tasks, 1), "file_path").mapInArrow(_read_heads, shape)

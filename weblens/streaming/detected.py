@@ -8,14 +8,14 @@ and overwrites its own folders, so each file's rows count once.
 
 from __future__ import annotations
 
-import re
-
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming import StreamingQuery
 
-from weblens.plans.detect import detect_heads
+from weblens.plans.detect import detect_listed, literal_path
 from weblens.plans.ingest import read_detected
 from weblens.streaming.batches import read_all_batches, read_batch, write_batch
 from weblens.streaming.parse import REFRESH
@@ -37,7 +37,6 @@ FORMAT_SCHEMA = T.StructType(
         T.StructField("smooth", T.BooleanType()),
     ]
 )
-_GLOB_SIGNS = re.compile(r"([\\{}\[\]*?])")
 
 
 def stream_detected(
@@ -61,18 +60,24 @@ def stream_detected(
     reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    arrived = reader.load(source).select("path", "length")
+    path = F.col("_metadata.file_path").alias("file_path")
+    arrived = reader.load(source).select(path, "path", "length")
 
     def parse(files: DataFrame, batch_id: int) -> None:
         session = files.sparkSession
-        paths = [r.path for r in files.where("length > 0").select("path").collect()]
-        if not paths:
+        listed = files.where("length > 0").collect()
+        if not listed:
             return
-        paths = [_GLOB_SIGNS.sub(r"\\\1", path) for path in paths]
-        if read_batch(session, formats, batch_id, FORMAT_SCHEMA) is None:
-            write_batch(detect_heads(session, paths), formats, batch_id)
-        known = read_batch(session, formats, batch_id, FORMAT_SCHEMA)
-        write_batch(read_detected(session, paths, formats=known), target, batch_id)
+        paths = [literal_path(f.path) for f in listed]
+        kept = read_batch(session, formats, batch_id, FORMAT_SCHEMA)
+        rows = detect_listed(session, listed) if kept is None else kept.collect()
+        # A row a file, as many as the batch has names: a table in the plan, no job reads it.
+        columns = {name: [r[name] for r in rows] for name in FORMAT_SCHEMA.names}
+        known = session.createDataFrame(pa.table(columns, to_arrow_schema(FORMAT_SCHEMA)))
+        if kept is None:
+            write_batch(known.coalesce(1), formats, batch_id)
+        logs = read_detected(session, paths, formats=known, few_files=True)
+        write_batch(logs, target, batch_id)
 
     return (
         arrived.writeStream.foreachBatch(parse)
