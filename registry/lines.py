@@ -40,6 +40,10 @@ LINE_OF = {"access.log": ACCESS_LINE, "error.log": ERROR_LINE, "app.log": GENERI
 
 # Lines of a written file.
 LINES_PER_FILE = 2_500
+# Streams that do not tell files apart read larger logs in larger files, as logs are rotated by
+# size: a batch is a few files, so the number of batches does not grow with the log.
+STREAMED_FILES = 160
+MOST_LINES_PER_FILE = 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -134,6 +138,11 @@ def write_log_files(
     return path
 
 
+def streamed_lines_per_file(lines: int) -> int:
+    """Lines of a file of a streamed log of so many lines."""
+    return min(max(-(-lines // STREAMED_FILES), LINES_PER_FILE), MOST_LINES_PER_FILE)
+
+
 def source_name(file_path):
     """`source/part` of a written file."""
     found = F.regexp_extract(file_path, r"source=([^/]+)/part=([^/]+)/", 1)

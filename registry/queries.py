@@ -69,6 +69,19 @@ def log_files(spark: SparkSession, sf_dir: str) -> str:
     return _written[key]
 
 
+def streamed_files(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the access log for streams of lines, in files that are larger if the log is."""
+    lines_per_file = L.streamed_lines_per_file(L.table(spark, sf_dir, "events").count())
+    if lines_per_file == L.LINES_PER_FILE:
+        return f"{log_files(spark, sf_dir)}/source=access.log"
+    key = (spark.sparkContext.applicationId, sf_dir, "access.log")
+    if key not in _written:
+        _written[key] = L.write_log_files(
+            spark, sf_dir, "access.log", lines_per_file=lines_per_file
+        )
+    return f"{_written[key]}/source=access.log"
+
+
 def of_view(operator: Callable[..., DataFrame], *args, **kwargs) -> Query:
     return lambda spark, sf_dir: operator(view(spark, sf_dir), *args, **kwargs)
 
@@ -291,7 +304,7 @@ def stream_detected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_minute_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = f"{log_files(spark, sf_dir)}/source=access.log"
+    source = streamed_files(spark, sf_dir)
     target = new_shared_path(spark, "stream")
     logs = parse_logs(stream_log_text(spark, source, max_files_per_trigger=4), "apache")
     streaming.stream_minute_traffic(
@@ -307,7 +320,7 @@ def rolled_up(spark: SparkSession, sf_dir: str) -> str:
     """Rollups of the access log's files, streamed once per session, some files a batch."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _rolled:
-        source = f"{log_files(spark, sf_dir)}/source=access.log"
+        source = streamed_files(spark, sf_dir)
         target = new_shared_path(spark, "rollups")
         logs = parse_logs(stream_log_text(spark, source, max_files_per_trigger=4), "apache")
         streaming.stream_rollups(

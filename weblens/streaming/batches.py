@@ -6,11 +6,32 @@ counts once. State a batch needs is read from the folder of the one before.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 BATCH = "batch_id"
+SHUFFLES = "spark.sql.shuffle.partitions"
+
+
+def start_narrow(
+    spark: SparkSession, partitions: int, start: Callable[[], StreamingQuery]
+) -> StreamingQuery:
+    """Start a stream whose batches shuffle little, into at most so many parts.
+
+    Streams keep the settings of their start, and a batch of a stream is not planned adaptively:
+    each shuffle would have, and each state store commit, the session's number of parts, mostly
+    empty ones. A stream that goes on from its checkpoint has the parts that it began with.
+    """
+    before = spark.conf.get(SHUFFLES)
+    spark.conf.set(SHUFFLES, str(max(1, min(int(before), partitions))))
+    try:
+        return start()
+    finally:
+        spark.conf.set(SHUFFLES, before)
 
 
 def batch_path(path: str, batch_id: int) -> str:

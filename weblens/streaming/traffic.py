@@ -8,11 +8,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from weblens.operators.metrics import minute_of
-from weblens.streaming.batches import read_all_batches, read_batch, write_batch
+from weblens.streaming.batches import read_all_batches, read_batch, start_narrow, write_batch
 from weblens.streaming.parse import REFRESH
 
 # Views are kept in a ring of folders: an hour of five-second batches, then reused.
 RING = 720
+# Clock values a part of the state is made for; each part is committed with every batch.
+CLOCKS_PER_PART = 20_000
 
 VIEW_SCHEMA = T.StructType(
     [
@@ -66,13 +68,14 @@ def stream_minute_traffic(
         )
         write_batch(view, target, batch_id % RING)
 
-    return (
+    writer = (
         counts.writeStream.outputMode("update")
         .foreachBatch(refresh)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or REFRESH))
-        .start()
     )
+    parts = 1 + 60 * int(minutes) // CLOCKS_PER_PART
+    return start_narrow(logs.sparkSession, parts, writer.start)
 
 
 def live_minute_traffic(spark: SparkSession, target: str) -> DataFrame:
