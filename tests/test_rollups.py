@@ -103,3 +103,39 @@ def test_nothing_yet(spark, tmp_path):
     assert counts.count() == 0 and streaming.rollup_kpis(counts).first().total_requests == 0
     assert streaming.rollup_unique_ips(spark, target).first().unique_ips == 0
     assert rollups.rollup_daily_ips(spark, target).count() == 0
+
+
+def test_batches_look_at_their_neighbours_only(spark, tmp_path, monkeypatch):
+    """What a batch costs does not grow with the batches before it."""
+    monkeypatch.setattr(levels, "_done", lambda *_: pytest.fail("all runs were listed"))
+    target = str(tmp_path / "r")
+    batch = spark.createDataFrame(some_batch(1, random.Random(2)), SCHEMA)
+    for n in range(levels.FANOUT):
+        streaming.add_batch(batch, target, n)
+    monkeypatch.undo()
+    assert levels.covering_runs(spark, f"{target}/counts") == [(1, 0)]
+
+
+def test_streams_shuffle_into_few_parts(spark, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    seen = []
+    try:
+        logs = spark.readStream.format("rate").load().selectExpr("value")
+        write = logs.writeStream.option("checkpointLocation", str(tmp_path))
+        write = write.foreachBatch(lambda df, n: seen.append(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        from weblens.streaming.batches import start_narrow
+
+        query = start_narrow(spark, 3, write.start)
+        query.processAllAvailable()
+        query.stop()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "50" and set(seen) == {"3"}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_larger_logs_are_streamed_in_larger_files():
+    from registry import lines as L
+
+    sizes = {n: L.streamed_lines_per_file(n) for n in (0, 100_000, 6_000_000, 36_000_000, 10**9)}
+    assert sizes == {0: 2500, 100_000: 2500, 6_000_000: 37_500, 36_000_000: 225_000, 10**9: 500_000}

@@ -30,6 +30,14 @@ def run_path(path: str, level: int, run: int) -> str:
     return f"{path}/level={level}/run={run}"
 
 
+def _all_done(spark: SparkSession, path: str, level: int, runs: range) -> bool:
+    """Whether these runs were written to their end; no other run is looked at."""
+    files, _ = _file_system(spark, path)
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    # The newest is the likeliest to be missing.
+    return all(files.exists(place(f"{run_path(path, level, n)}/_SUCCESS")) for n in reversed(runs))
+
+
 def _done(spark: SparkSession, path: str, level: int) -> set[int]:
     """Runs of a level that were written to their end."""
     files, place = _file_system(spark, f"{path}/level={level}/run=*/_SUCCESS")
@@ -48,19 +56,20 @@ def _levels(spark: SparkSession, path: str) -> list[int]:
 
 
 def write_run(spark: SparkSession, rows: DataFrame, path: str, batch: int, merge: Merge) -> None:
-    """Write or replace the rows of a batch, and merge what is complete then."""
+    """Write or replace the rows of a batch, a group a row, and merge what is complete then."""
     for level in reversed(_levels(spark, path)[1:]):  # the highest first: none outlives its parts
         _remove(spark, run_path(path, level, batch // FANOUT**level))
-    merge(rows).coalesce(1).write.mode("overwrite").parquet(run_path(path, 0, batch))
+    rows.coalesce(1).write.mode("overwrite").parquet(run_path(path, 0, batch))
     level, run = 0, batch // FANOUT
     while True:
         parts = range(run * FANOUT, (run + 1) * FANOUT)
-        if not _done(spark, path, level).issuperset(parts):
+        if not _all_done(spark, path, level, parts):
             return
         below = [run_path(path, level, part) for part in parts]
-        merged = merge(spark.read.schema(rows.schema).parquet(*below))
+        # Runs are small: one task reads them all, so the merge needs no shuffle.
+        merged = merge(spark.read.schema(rows.schema).parquet(*below).coalesce(1))
         level += 1
-        merged.coalesce(1).write.mode("overwrite").parquet(run_path(path, level, run))
+        merged.write.mode("overwrite").parquet(run_path(path, level, run))
         run //= FANOUT
 
 

@@ -24,12 +24,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from weblens import schema as S
 from weblens.operators.metrics import hour_of
+from weblens.streaming.batches import start_narrow
 from weblens.streaming.levels import read_runs, write_run
 from weblens.streaming.parse import REFRESH
 
 # 2**14 registers: a standard error of about 0.8 percent, at most 16 KB a sketch.
 SKETCH_BITS = 14
 
+# Parts of a batch's shuffles: one task writes the groups of a batch in any case.
+BATCH_PARTS = 4
+
 COUNTS = T.StructType(
     [
         T.StructField("hour", T.TimestampNTZType()),
@@ -89,12 +93,12 @@ def stream_rollups(
     logs: DataFrame, target: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
     """Start keeping the rollups of a parsed stream at `target`."""
-    return (
+    writer = (
         logs.writeStream.foreachBatch(lambda batch, batch_id: add_batch(batch, target, batch_id))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or REFRESH))
-        .start()
     )
+    return start_narrow(logs.sparkSession, BATCH_PARTS, writer.start)
 
 
 def rollup_counts(spark: SparkSession, target: str) -> DataFrame:
