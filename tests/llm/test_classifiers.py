@@ -179,3 +179,58 @@ def test_quality_learns_where_every_row_is_labelled(spark):
         scored = quality.score_quality(table, model).collect()
         right = [(r.score >= quality.THRESHOLD) == (r.quality == 1) for r in scored]
         assert np.mean(right) > 0.95
+
+
+def numbered_rows(spark, n):
+    """Rows of which one in ten is toxic, told by one word; no two are near copies."""
+    words = " ".join(f"concat('w', (id * {p}) % 9973)" for p in (7, 11, 13, 17, 19, 23)).split(" concat")
+    text = "concat_ws(' ', if(id % 10 = 0, 'idiot', 'fine'), " + ", concat".join(words) + ")"
+    docs = spark.range(n).selectExpr("id AS doc_id", f"{text} AS text")
+    return docs, spark.range(n).selectExpr("id AS doc_id", "int(id % 10 = 0) AS toxic")
+
+
+def test_all_labelled_rows_are_learnt_from(spark):
+    """However many, however long; near copies once, and held out rows never."""
+    docs, labels = numbered_rows(spark, 7000)
+    extra = [(7001, "long " * 15_000), (7003, "same words here"), (7005, "same words here")]
+    extra += [(7007, "one two three four five six seven eight nine ten"), (7009, None)]
+    extra += [(7011, "one two three four five six seven eight nine ten ten")]
+    docs = docs.unionByName(spark.createDataFrame(extra, "doc_id long, text string"))
+    labels = labels.unionByName(spark.createDataFrame([(r[0], 0) for r in extra], "doc_id long, toxic int"))
+    used = docs.where(~held_out("doc_id") & F.col("text").isNotNull())
+    rows = toxicity.different_rows(docs, labels, "doc_id", "text", "toxic").collect()
+    texts = [r.text for r in rows]
+    assert len(set(texts)) == len(texts) and set(texts) <= {r.text for r in used.collect()}
+    clean, toxic = (sum(r.y == y for r in rows) for y in (0, 1))
+    assert clean > 4000 and clean + toxic >= used.where("doc_id < 7000").count()
+    kept = [r.text for r in used.where("doc_id > 7000").dropDuplicates(["text"]).collect()]
+    ten = [t for t in kept if t.startswith("one two")]
+    assert all(t in texts for t in kept if t not in ten) and (not ten or sum(t in texts for t in ten) == 1)
+
+
+def test_means_of_shards(spark, monkeypatch):
+    """Shards are fitted apart; the mean tells the classes as one classifier does."""
+    docs, labels = numbered_rows(spark, 1200)
+    monkeypatch.setattr(toxicity, "SHARD_BYTES", 12_000)
+    model = toxicity.train_toxicity(docs, labels)
+    scored = toxicity.score_toxicity(docs, model).join(labels, "doc_id").collect()
+    right = [(r.score >= toxicity.THRESHOLD) == (r.toxic == 1) for r in scored]
+    assert np.mean(right) > 0.98
+
+
+def test_blocks_and_long_rows(monkeypatch):
+    rng = np.random.default_rng(3)
+    model = toxicity._start(rng.integers(0, 30, (2, toxicity.BUCKETS)), np.array([50, 50]), rng)
+    other = toxicity._start(np.zeros((2, toxicity.BUCKETS)), np.zeros(2), rng)
+    for k, block in enumerate(model.blocks()):
+        other.put_block(k, block.astype(np.float32))
+    assert (other.embeddings == model.embeddings).all() and (other.filters[2] == model.filters[2]).all()
+    x = rng.normal(size=(60, toxicity.SIZE)).astype(np.float32)
+    begins, ends = np.array([0, 20, 25]), np.array([18, 22, 57])
+    whole = toxicity._peaks(model, x, begins, ends)
+    monkeypatch.setattr(toxicity, "SLICE", 4)
+    parts = toxicity._peaks(model, x, begins, ends)
+    assert (whole[0] == parts[0]).all() and np.allclose(whole[1], parts[1])
+    rows = [np.zeros((n, 4), np.int32) for n in (3, 1, 9, 2, 0)]
+    cut = toxicity._by_words(rows, np.arange(5))
+    assert np.concatenate(cut).tolist() == list(range(5)) and len(cut) > 1
