@@ -88,7 +88,7 @@ def test_all_at_one_source(spark):
     found = got(source_divergence(frame(spark, rows)))
     assert found == brute(rows)
     ranks = {r[3]: r[5] for r in found if r[1] == "b" and r[2] == "pair"}
-    assert ranks == {"big": 1, "a": 2, "c": 3}
+    assert ranks == {"a": 1, "big": 2, "c": 3}
 
 
 def test_parts_of_long_texts(monkeypatch):
