@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weblens.llm import hashed_words as words
 from weblens.llm import quality, toxicity
+from weblens.llm.common import release_memory
 from weblens.llm.folds import held_out
 from weblens.llm.queries import op8_quality, op9_toxicity
 
@@ -234,3 +235,57 @@ def test_blocks_and_long_rows(monkeypatch):
     rows = [np.zeros((n, 4), np.int32) for n in (3, 1, 9, 2, 0)]
     cut = toxicity._by_words(rows, np.arange(5))
     assert np.concatenate(cut).tolist() == list(range(5)) and len(cut) > 1
+
+
+def test_shards_hold_features_not_text():
+    """While a shard is gathered, the texts of its earlier batches are given up."""
+    held = []
+
+    def batches():
+        for k in range(12):
+            texts = [f"word{k} and {i} more " * 50 for i in range(1000)]
+            columns = [pa.array(texts), pa.array([1] * 1000, pa.int32()), pa.array([k % 3] * 1000, pa.int32())]
+            del texts
+            batch = pa.RecordBatch.from_arrays(columns, schema=toxicity.LEARNT)
+            size = batch.nbytes
+            del columns
+            yield batch
+            del batch
+            held.append((pa.total_allocated_bytes() - before) / size)
+
+    class Start:
+        value = []
+
+    before = pa.total_allocated_bytes()
+    assert list(toxicity._fit_shards(Start)(batches())) == []
+    assert len(held) == 12 and max(held) < 3
+
+
+def test_shards_have_all_rows(monkeypatch):
+    """Several runs hold each row once, in order, with the features that the whole column has."""
+    texts = [f"one {'two ' * (i % 7)}three{i}" if i % 11 else "" for i in range(300)]
+    y, fold = np.arange(300) % 2, np.arange(300) % 3
+    table = pa.table([pa.array(texts), pa.array(y, pa.int32()), pa.array(fold, pa.int32())], schema=toxicity.LEARNT)
+    monkeypatch.setattr(toxicity, "SHARD_BYTES", 2_000)
+    shards = list(toxicity._shards(iter(table.to_batches(max_chunksize=40))))
+    assert len(shards) > 2
+    features, ends, _ = toxicity.word_features(pa.array(texts))
+    rows = [r for shard in shards for r in shard[0]]
+    assert [r.tolist() for r in rows] == [features[a:b].tolist() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    assert np.concatenate([s[1] for s in shards]).tolist() == y.tolist()
+    assert np.concatenate([s[2] for s in shards]).tolist() == fold.tolist()
+
+
+def test_freed_memory_goes_back():
+    """What lies free below a value still in use goes back to the system."""
+
+    def resident():
+        with open("/proc/self/statm") as file:
+            return int(file.read().split()[1]) * 4096
+
+    blocks = [np.ones(12_000) for _ in range(2_000)]  # each too small to be mapped by itself
+    last = np.ones(12_000)
+    full = resident()
+    del blocks
+    release_memory()
+    assert full - resident() > 150_000_000 and last.sum() == 12_000

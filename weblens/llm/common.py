@@ -6,6 +6,8 @@ and get one result each, equal to each other's. A null id is a key like any othe
 
 from __future__ import annotations
 
+import ctypes
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,3 +60,15 @@ def share(spark: SparkSession, value):
     """`value`, of bounded size, for every Python worker, which can import this package."""
     ship(spark)
     return spark.sparkContext.broadcast(value)
+
+
+def release_memory() -> None:
+    """Give the system back what a worker has freed.
+
+    Arrow's pool and glibc's heap both keep it otherwise, as long as the worker lives: the next
+    stage then runs on top of it.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

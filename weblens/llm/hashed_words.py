@@ -14,7 +14,7 @@ import pyarrow as pa
 P = 0x9E3779B97F4A7C15
 P_INVERSE = pow(P, -1, 1 << 64)
 # Buffers are worked on in parts of about so many bytes, cut between words.
-PART_BYTES = 1 << 20
+PART_BYTES = 1 << 18
 
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as model_pb2
 
-from weblens.llm.common import free_name, share
+from weblens.llm.common import free_name, release_memory, share
 from weblens.llm.hashed_words import row_slices
 
 MARK = "▁"
@@ -362,7 +362,7 @@ def encode_pieces(
                 yield coded
         finally:
             coder.rest()
-            pa.default_memory_pool().release_unused()
+            release_memory()
 
     if not both:
         return docs.withColumn(out, encode(F.col(text)))

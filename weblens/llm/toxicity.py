@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from weblens.llm.common import batch_of, share
+from weblens.llm.common import batch_of, release_memory, share
 from weblens.llm.folds import held_out
 from weblens.llm.hashed_words import NO_WORD, Words, parts, row_slices, text_bytes, word_hashes
 from weblens.shared import broadcast_within_limit, cut_lineage, ship
@@ -42,6 +42,7 @@ MOST_COMPARED = 64  # rows of a key that one is compared with; more may be near
 SEED = 7
 ALIKE = 0.8  # of the words of two rows: near copies, of which one is learnt from
 BUCKETS = 1 << 16
+FEATURE = np.uint16  # holds any bucket's number
 BEGINNINGS = (4, 5, 6)  # bytes
 SIZE, FILTERS, WIDTHS = 8, 8, (1, 2, 3)
 STEPS, BATCH, RATE, DECAY = 500, 32, 0.01, 0.1
@@ -438,6 +439,7 @@ def different_rows(
     def smallest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             yield pa.array([own[:3].tobytes() for own in _word_sets(batch)], pa.binary())
+            release_memory()
 
     keyed = texts.select("text", "y", smallest("text").alias("key"))
     sorted_rows = keyed.repartition("y", "key").sortWithinPartitions("y", "key", "text")
@@ -486,6 +488,7 @@ def _leave_out_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
                 inside[own] = False
             previous = text
         yield batch_of(kept, LEARNT)
+        release_memory()
 
 
 def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -498,34 +501,43 @@ def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             for a, b in zip(ends[:-1], ends[1:], strict=True):
                 seen[fold[at].as_py(), y[at].as_py(), np.unique(features[a:b])] += 1
                 at += 1
+        release_memory()
     fold, y, feature = (a.astype(np.int32) for a in np.nonzero(seen))
     yield pa.RecordBatch.from_arrays(
         [pa.array(a) for a in (fold, y, feature, seen[fold, y, feature])], schema=COUNTED
     )
 
 
-def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """The rows of a task in runs of about `SHARD_BYTES` of text."""
-    held, size = [], 0
+def _shards(
+    batches: Iterator[pa.RecordBatch],
+) -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray]]:
+    """Features, labels and folds of a task's rows, in runs of about `SHARD_BYTES` of text.
+
+    Of the text itself no more than a batch is held.
+    """
+    rows, labels, folds, size = [], [], [], 0
     for batch in batches:
-        held.append(batch)
+        for part in row_slices(batch["text"]):
+            features, ends, _ = word_features(part)
+            features = features.astype(FEATURE)
+            rows += [features[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        labels.append(batch["y"].to_numpy().copy())
+        folds.append(batch["fold"].to_numpy().copy())
         size += batch.nbytes
+        del batch
+        release_memory()
         if size >= SHARD_BYTES:
-            yield pa.Table.from_batches(held)
-            held, size = [], 0
+            yield rows, np.concatenate(labels), np.concatenate(folds)
+            rows, labels, folds, size = [], [], [], 0
     if size:
-        yield pa.Table.from_batches(held)
+        yield rows, np.concatenate(labels), np.concatenate(folds)
 
 
 def _fit_shards(start):
     """Fit the classifiers on each shard from the same start; their parameters are averaged."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard in _shards(batches):
-            labels, folds = (shard[name].to_numpy() for name in ("y", "fold"))
-            texts = shard["text"].cast(pa.large_string()).combine_chunks()
-            features, ends, _ = word_features(texts)
-            rows = [features[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        for rows, labels, folds in _shards(batches):
             for fold, first in enumerate(start.value):
                 learn = np.flatnonzero(folds != fold)
                 if not all((labels[learn] == y).any() for y in (0, 1)):
@@ -536,6 +548,8 @@ def _fit_shards(start):
                 for block, value in enumerate(model.blocks()):
                     row = (fold, block, len(learn), value.astype(np.float32).tobytes())
                     yield batch_of([row], BLOCKS)
+            rows.clear()
+            release_memory()
 
     return run
 
@@ -567,6 +581,7 @@ def _count_unseen(members):
                     own = y[at : at + len(texts)]
                     np.add.at(counts, (language, own, np.searchsorted(GRID, raw, "right")), 1)
                     at += len(texts)
+            release_memory()
         where = [a.astype(np.int32) for a in np.nonzero(counts)]
         yield pa.RecordBatch.from_arrays(
             [pa.array(a) for a in (*where, counts[tuple(where)])], schema=TOLD
@@ -588,5 +603,6 @@ def score_toxicity(
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             yield pa.array(shared.value.scores(batch), pa.float64())
+            release_memory()
 
     return docs.withColumn(out, score(F.col(text)))
