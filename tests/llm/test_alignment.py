@@ -117,6 +117,27 @@ def test_memory_of_stretches_is_bounded(monkeypatch):
             assert sum(400 + 4 * len(s) + len(e[0]) + len(e[1]) for s, e in held.items()) <= 50_000 + 2_000
 
 
+def test_new_stretches_are_encoded_together():
+    """A batch's new words are one text for A, and those known are not encoded again."""
+    aligner = TokenAligner(JSON, MODEL)
+    given, tokenizer = [], aligner.a
+
+    class Counted:
+        def encode_batch_fast(self, texts, **options):
+            given.extend(texts)
+            return tokenizer.encode_batch_fast(texts, **options)
+
+    aligner.a = Counted()
+    texts = [" ".join(f"w{i}é{k}" for i in range(50)) for k in range(40)] + ["▁ x", "a \n b ", "z\n"]
+    first = aligner.align(texts)
+    assert len(given) <= 10
+    del given[:]
+    assert aligner.align(texts[:40]) == first[:40] and not given
+    for text, found in zip(texts, first, strict=True):
+        want = brute_text(text)
+        assert (found and found[1].decode().split(";")) == (want and want[2])
+
+
 def test_containers_hold_every_link_once():
     rng = np.random.default_rng(2)
     pairs = np.r_[rng.integers(0, 9, 20_000), np.full(6_000, 77)]

@@ -19,8 +19,9 @@ An inverted index holds for every pair of ids the documents that have it linked,
 
 Both tokenizers work on stretches of the text: it is cut before every space that follows
 something other than white space, where both have a token end whatever stands further left or
-right (where a model does not prove that, the whole text is one stretch). A worker remembers
-the stretches it met, within a bound in bytes, and forgets them when its task ends.
+right (where a model does not prove that, the whole text is one stretch). For the same reason
+A gets the new stretches of a batch as one text. A worker remembers the stretches it met, within
+a bound in bytes, and forgets them when its task ends.
 
 Null and empty texts, and those that either tokenizer does not give back byte by byte (such as
 texts with U+2581, which B takes for a space), have no tokens. Each row is a document of its
@@ -122,8 +123,8 @@ class TokenAligner:
     def align(self, texts: list[str]) -> list[tuple[bytes, bytes, int, int] | None]:
         """Links, groups and token counts of each text; None where it has no tokens."""
         split = [self.stretches(t) if t else [] for t in texts]
-        found = self._look_up(set(chain.from_iterable(split)))
-        get = found.__getitem__
+        passing = self._look_up(set(chain.from_iterable(split)))
+        get = self.new.__getitem__
         out: list = []
         for parts in split:
             entries = list(map(get, parts))
@@ -133,31 +134,57 @@ class TokenAligner:
             links, groups, tokens = zip(*entries, strict=True)
             n = sum(tokens)
             out.append((b"".join(links), b";".join(groups), n >> 40, n & ((1 << 40) - 1)))
+        for stretch in passing:
+            del self.new[stretch]
+        if 2 * self.held > MEMO_BYTES:
+            self._rotate()
         return out
 
-    def _look_up(self, stretches: set[str]) -> dict[str, tuple | None]:
-        found: dict[str, tuple | None] = {}
-        missing = []
-        for stretch in stretches:
-            entry = self.new.get(stretch)
-            if entry is None:
-                entry = self.old.get(stretch)
-                if entry is None:
-                    missing.append(stretch)
-                    continue
-                self._remember(stretch, entry)
-            found[stretch] = entry
-        for stretch, entry in zip(missing, self._entries(missing), strict=True):
-            found[stretch] = entry
-            if entry is not None and len(stretch) <= MEMO_CHARS:
-                self._remember(stretch, entry)
-        return found
-
-    def _remember(self, stretch: str, entry: tuple) -> None:
-        self.new[stretch] = entry
-        self.held += 400 + 4 * len(stretch) + len(entry[0]) + len(entry[1])
-        if 2 * self.held > MEMO_BYTES:
-            self.old, self.new, self.held = self.new, {}, 0
+    def _look_up(self, stretches: set[str]) -> list[str]:
+        """Put the entries of all these stretches into `new`; those it must not keep come back."""
+        absent = stretches.difference(self.new)
+        known = absent.intersection(self.old)
+        self._remember({s: self.old[s] for s in known})
+        missing = absent.difference(known)
+        # Laid end to end, these have a cut of the text between any two of them.
+        joined = [s for s in missing if not s[-1].isspace() and MARK not in s] if self.cuts else []
+        apart = list(missing.difference(joined))
+        entries = dict(zip(joined, self._joined_entries(joined), strict=True))
+        entries.update(zip(apart, self._entries(apart), strict=True))
+        passing = [s for s, e in entries.items() if e is None or len(s) > MEMO_CHARS]
+        self.new.update((s, entries.pop(s)) for s in passing)
+        self._remember(entries)
+        return passing
+
+    def _remember(self, entries: dict[str, tuple]) -> None:
+        self.new.update(entries)
+        self.held += 400 * len(entries) + 4 * sum(map(len, entries))
+        self.held += sum([len(links) + len(groups) for links, groups, _ in entries.values()])
+
+    def _rotate(self) -> None:
+        """What was met last becomes the older half; the earliest beyond a half goes."""
+        gone = []
+        for stretch, (links, groups, _) in self.new.items():
+            if 2 * self.held <= MEMO_BYTES:
+                break
+            self.held -= 400 + 4 * len(stretch) + len(links) + len(groups)
+            gone.append(stretch)
+        for stretch in gone:
+            del self.new[stretch]
+        self.old, self.new, self.held = self.new, {}, 0
+
+    def _joined_entries(self, stretches: list[str]) -> list[tuple | None]:
+        """`_entries` of stretches that end a token of A wherever they stand: A gets one text."""
+        if not stretches:
+            return []
+        text = " " + " ".join(stretches)
+        a = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        b = list(chain.from_iterable(self.b.encode(stretches, num_threads=1)))
+        whole = [text.encode()]
+        if not self._same(self.a_bytes, a, whole) or not self._same(self.b_bytes, b, whole):
+            return self._entries(stretches)
+        ends = np.cumsum([len(s.encode()) + 1 for s in stretches])
+        return self._align(np.array(a, np.int64), np.array(b, np.int64), ends)
 
     def _entries(self, stretches: list[str]) -> list[tuple | None]:
         """Links, groups and token counts of each stretch; None where bytes got lost."""
@@ -176,30 +203,34 @@ class TokenAligner:
                 [x for x, fine in zip(xs, good, strict=True) if fine]
                 for xs in (a_ids, b_ids, whole)
             )
-            aligned = iter(self._align(a_ids, b_ids, whole))
+            aligned = iter(self._align(*self._flat(a_ids, b_ids, whole)))
             return [next(aligned) if fine else None for fine in good]
-        return self._align(a_ids, b_ids, whole)
+        return self._align(*self._flat(a_ids, b_ids, whole))
+
+    @staticmethod
+    def _flat(a_ids: list, b_ids: list, whole: list[bytes]) -> tuple[np.ndarray, ...]:
+        a, b = (np.fromiter(chain.from_iterable(ids), np.int64) for ids in (a_ids, b_ids))
+        return a, b, np.cumsum(list(map(len, whole)))
 
     @staticmethod
     def _same(bytes_of: list[bytes], ids: Iterable[int], whole: list[bytes]) -> bool:
         return b"".join(map(bytes_of.__getitem__, ids)) == b"".join(whole)
 
-    def _align(self, a_ids: list, b_ids: list, whole: list[bytes]) -> list[tuple]:
+    def _align(self, a: np.ndarray, b: np.ndarray, ends: np.ndarray) -> list[tuple]:
         """All stretches at once, laid end to end: both sides' tokens cut the same bytes.
 
         Between two neighbouring cuts of either side lies just one token of each: a link.
         Where both cut, a group ends.
         """
-        if not whole:
+        if not len(ends):
             return []
-        a, b = (np.fromiter(chain.from_iterable(ids), np.int64) for ids in (a_ids, b_ids))
         a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
-        ends = np.cumsum([len(w) for w in whole])
-        cuts = np.union1d(a_ends, b_ends)
+        a_cuts, b_cuts = (np.zeros(int(ends[-1]) + 1, bool) for _ in range(2))
+        a_cuts[a_ends], b_cuts[b_ends] = True, True
+        cuts, closes = np.flatnonzero(a_cuts | b_cuts), np.flatnonzero(a_cuts & b_cuts)
         pairs = a[np.searchsorted(a_ends, cuts)] * self.b_size + b[np.searchsorted(b_ends, cuts)]
         links, links_to = pairs.tobytes(), np.searchsorted(cuts, ends, "right") * 8
 
-        closes = np.intersect1d(a_ends, b_ends, assume_unique=True)
         a_group, b_group = np.searchsorted(closes, a_ends), np.searchsorted(closes, b_ends)
         a_upto, b_upto = (
             np.cumsum(np.bincount(g, minlength=len(closes))) for g in (a_group, b_group)
