@@ -180,3 +180,74 @@ def test_stream_batches_run_few_jobs(spark, tmp_path, monkeypatch):
     assert spark.read.parquet(target).count() == 9
     assert {r.format for r in stream_formats(spark, formats).collect()} == {"generic"}
     assert stream_formats(spark, formats).count() == 3
+
+
+def test_stream_batches_of_small_files_are_three_jobs_and_few_tasks(spark, tmp_path):
+    """Heads, formats and rows; small files share the tasks that there are cores for."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for n in range(24):
+        (folder / f"{n}.log").write_text([ACCESS, ERROR, PLAIN][n % 3] + "\n")
+    target, formats = str(tmp_path / "t"), str(tmp_path / "f")
+    query = stream_detected(
+        spark, str(folder), target, formats, str(tmp_path / "cp"), NOW, max_files_per_trigger=12
+    )
+    query.awaitTermination()
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(query.runId)) <= 2 * 3
+    cores = spark.sparkContext.defaultParallelism
+    for batch in (0, 1):
+        assert len(list((tmp_path / "t" / f"batch_id={batch}").glob("part-*"))) <= cores
+    assert rows_of(spark.read.parquet(target).drop("batch_id")) == rows_of(read_logs(spark, str(folder)))
+
+
+def test_settings_of_a_stream_of_files(spark, tmp_path):
+    """The source has them, the session does not keep them, and its own ones stay."""
+    from weblens.streaming import batches as B
+
+    names = (B.LISTING, B.GATHERING, B.CLEANUP, B.MANAGER)
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for n in range(12):
+        (folder / f"{n}.log").write_text(PLAIN + "\n")
+    before = [spark.conf.get(name, None) for name in names]
+    start(spark, str(folder), tmp_path, max_files_per_trigger=1)
+    assert [spark.conf.get(name, None) for name in names] == before
+    log = tmp_path / "cp" / "sources" / "0"
+    assert (log / "11").exists() and not list(log.glob("*.compact"))
+    spark.conf.set(B.GATHERING, "4")
+    try:
+        start(spark, str(folder), tmp_path / "own", max_files_per_trigger=1)
+        assert spark.conf.get(B.GATHERING) == "4"
+    finally:
+        spark.conf.unset(B.GATHERING)
+    assert (tmp_path / "own" / "cp" / "sources" / "0" / "3.compact").exists()
+
+
+def test_formats_half_kept_are_told_again(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.log").write_text(ERROR + "\n")
+    (tmp_path / "f" / "batch_id=0" / "_temporary").mkdir(parents=True)
+    target, formats = start(spark, str(folder), tmp_path)
+    assert [r.format for r in spark.read.parquet(target).collect()] == ["error"]
+    assert [r.format for r in stream_formats(spark, formats).collect()] == ["error"]
+
+
+def test_formats_of_few_files_by_name(spark, lines, monkeypatch):
+    """Named formats give the rows that a table of formats gives, looked up or joined."""
+    from weblens.plans import parse
+
+    odd = 'b "quoted" \\ü,{}.log'
+    texts = {"a.log": [ACCESS, "x", ""], odd: [ERROR, PLAIN], "c'.log": [PLAIN], "none.log": ["y z"]}
+    raw = lines(texts)
+    for named in (
+        {"a.log": "apache", odd: "error", "c'.log": "generic"},
+        {"a.log": "apache"},
+        {},
+    ):
+        table = spark.createDataFrame(list(named.items()), "file_path string, format string")
+        want = spark_rows(parse.parse_logs(raw, formats=table))
+        assert spark_rows(parse.parse_logs(raw, formats=named)) == want
+        with monkeypatch.context() as patch:
+            patch.setattr(parse, "MOST_IN_PLAN", 0)
+            assert spark_rows(parse.parse_logs(raw, formats=named)) == want

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +14,6 @@ from weblens.sources.text import index_bounds, line_index, number_lines, scan_lo
 
 _GLOB_SIGNS = re.compile(r"([\\{}\[\]*?])")
 
-LISTED = pa.schema([("file_path", pa.string()), ("path", pa.string()), ("length", pa.int64())])
-
 # Files that are named one by one in a plan at most.
 MOST_NAMED = 10_000
 
@@ -141,26 +138,23 @@ def _formats_of_text(spark, path, glob, names: list[str] | None) -> DataFrame:
     return whole.select("file_path", "format", smooth)
 
 
-def detect_listed(spark: SparkSession, files: list[Row]) -> list[Row]:
-    """`detect_heads` of a bounded number of files that are listed already, in one job.
+def told_files(files: DataFrame, count: int) -> DataFrame:
+    """`(file_path, path, length, lines, format, smooth)` of files listed as `list_files` does.
 
-    Takes rows as `list_files` returns them, and returns rows of the formats.
+    Works on streams of files, for `count` see `heads_of`. `lines` is how many lines tell the
+    format: none in a file of blanks, NULL in one that workers cannot open.
     """
-    columns = {name: [f[name] for f in files] for name in LISTED.names}
-    heads = heads_of(spark.createDataFrame(pa.table(columns, LISTED)), len(files))
-    closed = F.col("head").isNull()
-    # One pass: a closed file's row has no format, one of blanks only is left out.
-    told = heads.where(closed | (F.size("head") > 0)).select(
-        "file_path",
-        F.when(~closed, _format_of("head")).alias("format"),
-        F.when(~closed, F.col("smooth")).alias("smooth"),
-    )
-    rows = told.collect()
-    found = [r for r in rows if r.format]
-    closed_names = {r.file_path for r in rows if not r.format}
-    if closed_names:
-        paths = [literal_path(f.path) for f in files if f.file_path in closed_names]
-        found += _formats_of_text(spark, paths, None, None).collect()
+    heads = heads_of(files, count).withColumn("lines", F.when(F.col("head").isNotNull(), F.size("head")))
+    told = F.when(F.col("lines") > 0, _format_of("head")).alias("format")
+    return heads.select("file_path", "path", "length", "lines", told, "smooth")
+
+
+def formats_of_told(spark: SparkSession, files: list[Row]) -> list[Row]:
+    """`detect_heads` of a bounded number of files, out of rows of `told_files`."""
+    found = [f for f in files if f.format]
+    closed = [literal_path(f.path) for f in files if f.lines is None]
+    if closed:
+        found += _formats_of_text(spark, closed, None, None).collect()
     return found
 
 

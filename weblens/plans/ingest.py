@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from weblens.plans.detect import MOST_NAMED, detect_format, detect_heads
@@ -46,34 +46,42 @@ def read_detected(
     spark: SparkSession,
     path: str | list[str],
     glob: str | None = None,
-    formats: DataFrame | None = None,
-    few_files: bool = False,
+    formats: DataFrame | list[Row] | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Parsed lines of all log files under `path`, each in its own format, in scan order.
 
     The rows are those of `read_logs`, but the text is read once: formats come from the heads
     of the files, a few KB each. Only files with blanks around their text, zipped ones and
     those that workers cannot open get a light pass that finds where their text begins and
-    ends. `formats` is what `detect_heads` returned, if that is known; for `few_files` see
-    `parse_logs`.
+    ends. `formats` is what `detect_heads` returned, if that is known, or its rows for few files
+    (see `parse_logs`). `tasks` is how many tasks read the files without that pass at most.
     """
     if formats is None:
         formats = detect_heads(spark, path, glob)
-    named = formats.select("file_path", "format")
-    rough = formats.where("smooth IS NOT TRUE").select("file_path").limit(MOST_NAMED + 1)
-    names = [row.file_path for row in rough.collect()]
+    if isinstance(formats, list):
+        named = {row.file_path: row.format for row in formats}
+        names = [row.file_path for row in formats if not row.smooth]
+    else:
+        named = formats.select("file_path", "format")
+        rough = formats.where("smooth IS NOT TRUE").select("file_path").limit(MOST_NAMED + 1)
+        names = [row.file_path for row in rough.collect()]
+
+    def shared(scan: DataFrame) -> DataFrame:
+        return spread(scan) if tasks is None else scan.coalesce(tasks)
+
     if not names:
-        lines = spread(scan_log_text(spark, path, glob))
-        return parse_logs(lines, formats=named, few_files=few_files)
+        lines = shared(scan_log_text(spark, path, glob))
+        return parse_logs(lines, formats=named)
     here = F.col("_metadata.file_path").isin(names)
     every = len(names) > MOST_NAMED  # too many to name: all files get that pass
     scan = scan_log_text(spark, path, glob, None if every else here)
     trimmed = trim_scan(spread(scan), line_index(scan))
-    trimmed = parse_logs(trimmed, formats=named, few_files=few_files)
+    trimmed = parse_logs(trimmed, formats=named)
     if every:
         return trimmed
-    smooth = spread(scan_log_text(spark, path, glob, ~here))
-    smooth = parse_logs(smooth, formats=named, few_files=few_files)
+    smooth = shared(scan_log_text(spark, path, glob, ~here))
+    smooth = parse_logs(smooth, formats=named)
     return smooth.unionByName(trimmed)
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 from functools import lru_cache
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +22,9 @@ from weblens.functions.line_formats import (
 from weblens.plans.detect import detect_format, text_bounds
 from weblens.shared import broadcast_within_limit, cut_lineage
 
+# Files whose formats are looked up one by one for a line; those of more are joined.
+MOST_IN_PLAN = 100
+
 
 def has_text(raw: Column) -> Column:
     """Whether a line is more than blanks; the first character mostly tells."""
@@ -34,23 +39,24 @@ def _by_format(choices: dict[str, Column]) -> Column:
     return chosen
 
 
-def _parse(lines: DataFrame, formats: Iterable[LineFormat]) -> DataFrame:
-    """Parse lines that carry their `format`, one of `formats`."""
+def _parse(lines: DataFrame, formats: Iterable[LineFormat], mixed: bool = False) -> DataFrame:
+    """Parse lines that carry their `format`, one of `formats`; NULL only where `mixed`."""
     kept = [c for c in lines.columns if c not in S.LOG_FIELDS.names]
     names = tuple(f.name for f in formats)
-    text, parts, columns = _parsing(lines.sparkSession.sparkContext.applicationId, names)
+    text, parts, columns = _parsing(lines.sparkSession.sparkContext.applicationId, names, mixed)
     # The parts come out of a generator, so they are made once per line: a filter on a
     # parsed column would otherwise be pushed down with the parsing copied into it.
     return lines.where(text).select("*", parts).select(*kept, *columns)
 
 
-@lru_cache(maxsize=16)
-def _parsing(app: str, names: tuple[str, ...]) -> tuple[Column, Column, tuple[Column, ...]]:
+@lru_cache(maxsize=32)
+def _parsing(
+    app: str, names: tuple[str, ...], mixed: bool
+) -> tuple[Column, Column, tuple[Column, ...]]:
     """What `_parse` selects, made once an application: streams parse every few seconds."""
     formats = [FORMATS[name] for name in names]
     raw, part = F.col("raw"), F.col("_part")
-    alone = len(formats) == 1
-    by_format = (lambda choices: choices[formats[0].name]) if alone else _by_format
+    by_format = _by_format if mixed else lambda choices: choices[formats[0].name]
     in_parts = by_format({f.name: f.parts(raw) for f in formats})
     read = F.size(part) == by_format({f.name: F.lit(f.size) for f in formats})
     per_format = {f.name: f.fields(raw, part) for f in formats}
@@ -74,15 +80,14 @@ def _parsing(app: str, names: tuple[str, ...]) -> tuple[Column, Column, tuple[Co
 def parse_logs(
     lines: DataFrame,
     format: str | None = None,
-    formats: DataFrame | None = None,
-    few_files: bool = False,
+    formats: DataFrame | dict[str, str] | None = None,
 ) -> DataFrame:
     """Parse lines into the table of `schema.LOG_FIELDS`, keeping other columns as they are.
 
     - `format` names the format of every line: one pass, no join, works on streams.
     - `formats` gives `(file_path, format)`, as `detect_format` returns it (with its line
-      bounds, the outer blanks of each file are cut too).
-      With `few_files` it is small and cheap to read, and so is neither written nor measured.
+      bounds, the outer blanks of each file are cut too). A dict of the formats of few files
+      becomes part of the plan: nothing is written, measured or joined.
     - with neither, the formats are detected here, which reads the lines twice more.
 
     Blank lines are skipped; a line its format cannot read stays, as `UNPARSED`.
@@ -90,16 +95,30 @@ def parse_logs(
     if format is not None:
         one = FORMATS[format]
         return _parse(lines.withColumn("format", F.lit(one.name)), [one])
+    if isinstance(formats, dict):
+        return _parse_few(lines, formats)
     if formats is None:
         formats = detect_format(lines)
-    if few_files:
-        formats = F.broadcast(formats)
-    else:
-        formats = broadcast_within_limit(cut_lineage(formats))
+    formats = broadcast_within_limit(cut_lineage(formats))
     known = lines.drop("format").join(formats, "file_path", "left")
     if {"first_line", "last_line"} <= set(formats.columns):
         known = trim_edges(known)
-    return _parse(known, FORMATS.values())
+    return _parse(known, FORMATS.values(), mixed=True)
+
+
+def _parse_few(lines: DataFrame, formats: dict[str, str]) -> DataFrame:
+    """`parse_logs` of files whose formats the driver knows: no job but that of the lines."""
+    if 0 < len(formats) <= MOST_IN_PLAN:
+        # One literal, as a column for each name would take longer to make than to look up.
+        of_file = F.from_json(F.lit(json.dumps(formats)), "map<string,string>")
+        known = lines.withColumn("format", of_file[F.col("file_path")])
+    else:
+        columns = {"file_path": list(formats), "format": list(formats.values())}
+        table = pa.table(columns, pa.schema([(name, pa.string()) for name in columns]))
+        few = F.broadcast(lines.sparkSession.createDataFrame(table))
+        known = lines.drop("format").join(few, "file_path", "left")
+    used = [f for name, f in FORMATS.items() if name in set(formats.values())]
+    return _parse(known, used or FORMATS.values(), mixed=True)
 
 
 def trim_edges(lines: DataFrame) -> DataFrame:

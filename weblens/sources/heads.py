@@ -154,6 +154,8 @@ class _Reader:
 HEADS = pa.schema(
     [
         ("file_path", pa.string()),
+        ("path", pa.string()),
+        ("length", pa.int64()),
         ("head", pa.list_(pa.string())),
         ("smooth", pa.bool_()),
         ("read_bytes", pa.int64()),
@@ -168,14 +170,14 @@ def _read_heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             try:
                 reader = _Reader(path, length)
             except (OSError, ValueError, ImportError):  # only Spark reaches it
-                rows.append((file_path, None, None, 0))
+                rows.append((file_path, path, length, None, None, 0))
                 continue
             with reader.file:
                 try:
                     head = first_lines(reader.chunks())
-                    rows.append((file_path, head, reader.smooth(), reader.read))
+                    rows.append((file_path, path, length, head, reader.smooth(), reader.read))
                 except (ValueError, zlib.error):  # not zipped as its name says
-                    rows.append((file_path, None, None, reader.read))
+                    rows.append((file_path, path, length, None, None, reader.read))
         arrays = [
             pa.array(values, field.type)
             for values, field in zip(zip(*rows, strict=True), HEADS, strict=True)
@@ -191,15 +193,23 @@ def file_heads(spark: SparkSession, path: str | list[str], glob: str | None = No
     before or after the text; NULL where that is not known. Written to the shared folder.
     """
     files = cut_lineage(list_files(spark, path, glob))
-    return cut_lineage(heads_of(files, files.count()))
+    return cut_lineage(heads_of(files, files.count()).drop("path", "length"))
 
 
 def heads_of(files: DataFrame, count: int) -> DataFrame:
-    """`file_heads` of `count` files given as `list_files` returns them, not written."""
+    """`file_heads` of files given as `list_files` returns them, beside their path and length.
+
+    Not written. `count` tells how many files there are, of a stream how many a batch has at most.
+    """
     spark = files.sparkSession
     ship(spark)
     # A row stands for a range read, so tasks are made by the number of rows.
     tasks = min(max(math.ceil(count / FILES_PER_TASK), 1), MOST_TASKS)
     tasks = max(tasks, min(spark.sparkContext.defaultParallelism, count))
-    shape = "file_path string, head array<string>, smooth boolean, read_bytes long"
-    return files.repartition(max(tasks, 1), "file_path").mapInArrow(_read_heads, shape)
+    shape = (
+        "file_path string, path string, length long, "
+        "head array<string>, smooth boolean, read_bytes long"
+    )
+    # A batch of a stream comes in a split for every few files; a shuffle would cost more.
+    listed = files.coalesce(tasks) if files.isStreaming else files.repartition(tasks, "file_path")
+    return listed.mapInArrow(_read_heads, shape)

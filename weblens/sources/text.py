@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -50,7 +52,13 @@ def scan_log_text(
     pin_splits(spark)
     lines = _clean_lines(spark.read, path, glob)
     lines = lines if keep is None else lines.where(keep)
-    return lines.select(
+    return lines.select(*_scanned(spark.sparkContext.applicationId))
+
+
+@lru_cache(maxsize=4)
+def _scanned(app: str) -> tuple[Column, ...]:
+    """What a scan selects, made once an application: streams scan every batch."""
+    return (
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("row_id"),
